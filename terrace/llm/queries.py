@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from terrace.llm import mixing
+from terrace.llm import langid, mixing, token_file
 
-QUERIES = {"op1_mix_sources": mixing.op1_mix_sources}
+QUERIES = {
+    "op1_mix_sources": mixing.op1_mix_sources,
+    "op3_token_files": token_file.op3_token_files,
+    "op4_language_id": langid.op4_language_id,
+}
 ORACLE_SQL = {"op1_mix_sources": mixing.OP1_SQL}
