@@ -9,6 +9,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import gc
+import os
 import tempfile
 import uuid
 
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of one Arrow batch: documents can be long, so batches are kept short.
 ARROW_ROWS = 1024
+#: The folder that holds this package.
+HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,7 +31,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small; affects only the exchange with Python workers."""
+    """Keep Arrow batches of whole texts small, and let Python workers find this package where it lies.
+
+    Both affect only the exchange with Python workers.
+    """
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if HOME not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
