@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from terrace.llm import bpe, langid, mixing, simhash, token_file
+from terrace.llm import ann, bpe, kdtree, langid, mixing, simhash, token_file
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_token_files": token_file.op3_token_files,
     "op4_language_id": langid.op4_language_id,
+    "op5_ann": ann.op5_ann,
     "op6_simhash": simhash.op6_simhash,
     "op7_byte_bpe": bpe.op7_byte_bpe,
+    "op8_exact_topk": kdtree.op8_exact_topk,
 }
-ORACLE_SQL = {"op1_mix_sources": mixing.OP1_SQL}
+ORACLE_SQL = {"op1_mix_sources": mixing.OP1_SQL, "op8_exact_topk": kdtree.OP8_SQL}
