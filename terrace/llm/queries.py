@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from terrace.llm import ann, bpe, kdtree, langid, mixing, simhash, token_file
+from terrace.llm import ann, bpe, kdtree, langid, mixing, simhash, substring, token_file
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_substring_dedup": substring.op2_substring_dedup,
     "op3_token_files": token_file.op3_token_files,
     "op4_language_id": langid.op4_language_id,
     "op5_ann": ann.op5_ann,
