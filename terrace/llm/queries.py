@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from terrace.llm import ann, bpe, kdtree, langid, mixing, quality, simhash, substring, token_file
+from terrace.llm import ann, bpe, chat, kdtree, langid, mixing, quality, simhash, substring, token_file
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -14,5 +14,6 @@ QUERIES = {
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_exact_topk": kdtree.op8_exact_topk,
     "op9_quality": quality.op9_quality,
+    "op10_chat": chat.op10_chat,
 }
-ORACLE_SQL = {"op1_mix_sources": mixing.OP1_SQL, "op8_exact_topk": kdtree.OP8_SQL}
+ORACLE_SQL = {"op1_mix_sources": mixing.OP1_SQL, "op8_exact_topk": kdtree.OP8_SQL, "op10_chat": chat.OP10_SQL}
