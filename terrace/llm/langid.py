@@ -32,8 +32,8 @@ ORDER = 4
 SAMPLE_DOCS, SAMPLE_WORDS, MAX_LANGUAGES = 2000, 240_000, 400
 #: Entries that a worker keeps of words and of contexts.
 CACHE = 200_000
-#: A text that costs more bits a byte than this in its best language is in none of them.
-FOREIGN_BITS = 6.0
+#: A text that costs more bits a byte than this in its best language (as many as bytes drawn at random) is in none of them.
+FOREIGN_BITS = 8.0
 UNKNOWN = "und"
 
 

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -133,5 +134,200 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     return fps.join(named, fps.fp == named["__fp"]).select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: Near copies by similarity: 64-bit lanes of the shingle sketch, bands of three positional bytes of the word sketch.
+LANES, BANDS = 8, 24
+#: Words from this many bytes on make the word sketch, unless a text has fewer different ones than FEW.
+LONG_WORD, FEW = 6, 10
+#: Standard deviations of a pair's differing bits, from their mean at the similarity asked for: pairs that differ in fewer
+#: bits than the one below are surely as similar, those with more than the one above surely not; all others are compared exactly.
+SURE = 2.6
+#: Words of the fixed bitmap that keeps texts without an open pair from being shuffled.
+BITMAP = 1 << 16
+_LOW = np.uint64(0x0101010101010101)
+
+
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 250_000:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word, 3)
+        return h
+
+
+_HASHES = _Hashes()
+
+
+def _lanes(h: np.ndarray, n: int) -> np.ndarray:
+    """``n`` independent 64-bit hashes from each hash, (n, hashes)."""
+    with np.errstate(over="ignore"):
+        x = h[None, :] + (np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+def sketch(h: np.ndarray, n: int) -> np.ndarray:
+    """SimHash of a set of hashes in ``n`` lanes, as bytes: a bit is 1 if it is set in over half of the hashes.
+
+    Bits are counted in the bytes of a word, 255 hashes at a time.
+    """
+    ones = np.zeros((n, 8, 8), np.int64)
+    for at in range(0, len(h), 255 * 64):
+        x = _lanes(h[at : at + 255 * 64], n)
+        x = np.concatenate([x, np.zeros((n, -x.shape[1] % 255), np.uint64)], axis=1).reshape(n, -1, 255)
+        for b in range(8):
+            ones[:, b] += (x >> np.uint64(b) & _LOW).sum(axis=2).view(np.uint8).reshape(n, -1, 8).sum(axis=1, dtype=np.int64)
+    return np.packbits((2 * ones > len(h)).reshape(n * 8, 8), axis=1).reshape(-1)
+
+
+def _near_sketches(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bands, sketches = [], []
+            for text in b.column(b.num_columns - 1).cast(pa.binary()).to_pylist():
+                words = (text or b"").lower().split()
+                h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+                chosen = np.unique(h[np.fromiter(map(len, words), np.int64, len(words)) >= LONG_WORD])
+                if len(chosen) < FEW:
+                    chosen = np.unique(h)
+                octets = sketch(chosen, BANDS * 3 // 8).reshape(BANDS, 3).astype(np.int64)
+                bands.append(octets[:, 0] | octets[:, 1] << 8 | octets[:, 2] << 16 | np.arange(BANDS) << 24)
+                sketches.append(sketch(_shingle_set(text or b"", shingle), LANES).tobytes())
+            flat = pa.ListArray.from_arrays(np.arange(0, len(bands) * BANDS + 1, BANDS, dtype=np.int32), pa.array(np.concatenate(bands) if bands else [], pa.int64()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], flat, pa.array(sketches, pa.binary())], ["h1", "h2", "id", "bands", "sketch"])
+
+    return run
+
+
+def _bounds(similarity: float, bits: int) -> tuple[int, int]:
+    """Differing bits up to which two texts are surely of this Jaccard similarity, and from which surely not."""
+    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    spread = SURE * np.sqrt(bits * p * (1 - p))
+    return int(bits * p - spread), int(bits * p + spread)
+
+
+def _posting_links(sure: int, most: int):
+    """Of each posting, a spanning forest of its sure links, and the open pairs between the forest's trees.
+
+    Pairs are compared in blocks and never listed.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for members in b.column(0):
+                rows = members.values
+                h1, h2 = rows.field(0).to_numpy(), rows.field(1).to_numpy()
+                words = np.frombuffer(b"".join(rows.field(2).to_pylist()), np.uint64).reshape(-1, LANES)
+                root = np.arange(len(words))
+                for final in (True, False):
+                    for i in range(len(words) - 1):
+                        later = i + 1 + np.flatnonzero(root[i + 1 :] != root[i])
+                        differ = np.bitwise_count(words[later] ^ words[i]).sum(axis=1, dtype=np.int64)
+                        for j in later[differ <= sure if final else (differ > sure) & (differ <= most)].tolist():
+                            if final and root[j] != root[i]:
+                                root[root == root[j]] = root[i]
+                            elif final:
+                                continue
+                            out.append((final, h1[i], h2[i], h1[j], h2[j]))
+            cols = list(zip(*out)) if out else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.bool_()), *(pa.array(c, pa.int64()) for c in cols[1:])], ["sure", "a1", "a2", "b1", "b2"])
+
+    return run
+
+
+def _shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    words = text.lower().split()
+    h, k = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words)), min(shingle, len(words))
+    chain = np.zeros(max(1, len(h) - shingle + 1), np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(k):
+            chain = (chain ^ h[j : j + len(chain)]) * np.uint64(0xFF51AFD7ED558CCD)
+            chain ^= chain >> np.uint64(32)
+    return np.unique(chain)
+
+
+def _shingle_sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [_shingle_set(t or b"", shingle).tobytes() for t in b.column(2).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.binary())], ["s1", "s2", "set"])
+
+    return run
+
+
+def _similar(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays(b.columns[:4], names=["a1", "a2", "b1", "b2"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _verified(pairs: DataFrame, marked: DataFrame, first: DataFrame, key: str, text: str, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
+    """Those of the open pairs whose sets of shingles are as similar as asked for.
+
+    Only texts with an open pair are shuffled, one row of each: a bitmap of fixed size holds back the others.
+    """
+    sides = pairs.select(F.col("a1").alias("s1"), F.col("a2").alias("s2")).unionByName(pairs.select(F.col("b1").alias("s1"), F.col("b2").alias("s2"))).distinct()
+    slot = F.pmod(F.col("s1"), F.lit(64 * BITMAP))
+    held = sides.groupBy(F.shiftright(slot, 6).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(s1, {64 * BITMAP}) & 63 as int))")).alias("bits"))
+    bitmap = np.zeros(BITMAP, np.int64)
+    for word, bits in held.collect():  # BITMAP rows at most
+        bitmap[word] = bits
+    bitmap = marked.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+
+    @F.pandas_udf("boolean")
+    def maybe(h: pd.Series) -> pd.Series:
+        at = h.to_numpy() % (64 * BITMAP)
+        return pd.Series(bitmap.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) != 0)
+
+    ids = first.join(sides, (first.h1 == sides.s1) & (first.h2 == sides.s2), "left_semi").select("h1", "h2", F.col("id").alias("__id"))
+    some = marked.select("__h1", "__h2", F.col(key).alias("__own"), F.col(text).alias("__text")).where(maybe("__h1"))
+    one = some.join(ids, (F.col("__h1") == F.col("h1")) & (F.col("__h2") == F.col("h2")) & F.col("__own").eqNullSafe(F.col("__id")))
+    sets = one.select("h1", "h2", "__text").mapInArrow(_shingle_sets(shingle), "s1 long, s2 long, set binary").dropDuplicates(["s1", "s2"])
+    sets = scratch.save(sets, "sets")
+    left = pairs.join(sets.withColumnRenamed("set", "x"), (F.col("a1") == F.col("s1")) & (F.col("a2") == F.col("s2"))).drop("s1", "s2")
+    both = left.join(sets.withColumnRenamed("set", "y"), (F.col("b1") == F.col("s1")) & (F.col("b2") == F.col("s2"))).select("a1", "a2", "b1", "b2", "x", "y")
+    return both.mapInArrow(_similar(similarity), "a1 long, a2 long, b1 long, b2 long")
+
+
+def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one document of each group of near copies: the one of smallest ``key`` (null last).
+
+    Exact copies are folded first. Each different text has a 512-bit SimHash of its set of word shingles, and a SimHash of its
+    long words whose positional bytes, three by three, are the postings of the index. For texts that meet in a posting the
+    differing bits of their shingle sketches are counted: few enough, and they are linked; too many, and they are not; between
+    the two, their sets of shingles are compared. Of sure links a posting hands on a spanning forest, and open pairs only
+    between its trees. Rows that repeat key and text count as one document; a null text is an empty one.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    scratch = Scratch(spark, "copies")
+    marked = docs.withColumn("__h1", F.xxhash64(F.coalesce(text, F.lit("")))).withColumn("__h2", F.xxhash64(F.lit("second"), F.coalesce(text, F.lit(""))))
+    plain = marked.select("__h1", "__h2", F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    kind = plain.schema["id"].dataType.simpleString()
+    rows = scratch.save(plain.mapInArrow(_near_sketches(shingle), f"h1 long, h2 long, id {kind}, bands array<long>, sketch binary"), "sketches")
+    texts = rows.groupBy("h1", "h2").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    postings = texts.select(F.explode("bands").alias("band"), F.struct("h1", "h2", "sketch").alias("m")).groupBy("band").agg(F.collect_list("m").alias("m")).where("size(m) > 1").select("m")
+    found = postings.mapInArrow(_posting_links(*_bounds(similarity, 64 * LANES)), "sure boolean, a1 long, a2 long, b1 long, b2 long").distinct()
+    found = scratch.save(found, "pairs")
+    first = rows.groupBy("h1", "h2").agg(F.min("id").alias("id"))
+    pair = ["a1", "a2", "b1", "b2"]
+    linked = found.where("sure").select(*pair).unionByName(_verified(found.where("not sure").select(*pair), marked, first, key, text, shingle, similarity, scratch))
+    edges = linked.select(F.struct(F.col("a1").alias("h1"), F.col("a2").alias("h2")).alias("a"), F.struct(F.col("b1").alias("h1"), F.col("b2").alias("h2")).alias("b"))
+    roots = components(edges, scratch, "links").select(F.col("node.h1").alias("n1"), F.col("node.h2").alias("n2"), "root")
+    rooted = first.join(roots, (first.h1 == roots.n1) & (first.h2 == roots.n2), "left").withColumn("root", F.coalesce("root", F.struct("h1", "h2")))
+    kept = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h1", "h2")).alias("k"))
+    kept = scratch.save(kept.select(F.col("k.id").alias("__id"), F.col("k.h1").alias("__k1"), F.col("k.h2").alias("__k2")), "kept")
+    same = F.col(key).eqNullSafe(F.col("__id")) & (F.col("__h1") == F.col("__k1")) & (F.col("__h2") == F.col("__k2"))
+    return marked.join(kept, same).dropDuplicates([key, "__h1", "__h2"]).select(*docs.columns)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
