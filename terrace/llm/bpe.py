@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import duckdb
@@ -29,7 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from terrace.llm._store import ARROW_ROWS, small_batches
 
 #: Distinct pieces that a worker keeps, the pieces of one query, and the bytes from which a piece is long.
-CACHE, PIECES, LONG = 200_000, 50_000, 64
+CACHE, PIECES, LONG = 600_000, 60_000, 64
 #: Pieces of texts that wait for a query.
 HELD = 4_000_000
 
@@ -84,14 +85,14 @@ class Merges:
         self.forget()
 
     def forget(self) -> None:
-        self.at, self.ids, self.count, self.back = Numbered(), [], [], []
+        self.at, self.ids, self.count, self.back = Numbered(), [], array("q"), []
 
     def learn(self) -> None:
         """Encode the pieces that were numbered but are not known yet."""
         new = self.at.new
         lo, query = len(self.ids), []
         self.ids += [b""] * len(new)
-        self.count += [0] * len(new)
+        self.count.frombytes(bytes(8 * len(new)))
         self.back += [b""] * len(new)
         for k, p in enumerate(new, lo):
             b = p.encode()
@@ -159,7 +160,7 @@ class Merges:
 
     def _emit(self, held: list) -> Iterator[tuple]:
         self.learn()
-        ids, count, back = self.ids, np.array(self.count, np.int64), self.back
+        ids, count, back = self.ids, np.array(self.count), self.back
         for numbers, row in held:
             k = numbers.tolist()
             yield ([ids[i] for i in k], int(count[numbers].sum()), [back[i] for i in k]), row
