@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from terrace.plans import places, rasters
+
+_ALL = {k: v for plan in (places, rasters) for k, v in plan.QUERIES.items()}
+
+QUERIES: dict = {k: query for k, (query, _) in _ALL.items()}
+#: Queries without SQL are tested against brute force.
+ORACLE_SQL: dict = {k: sql for k, (_, sql) in _ALL.items() if sql}
