@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Letters that lose their marks: built from the characters' own decompositions, so no table is kept here.
 _MARKED = [chr(c) for c in range(0xC0, 0x250) if len(d := unicodedata.normalize("NFKD", chr(c))) > 1 and d[0].isascii()]
@@ -18,7 +19,7 @@ def normalize_name(name: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(bare, "[^a-z0-9]+", " ")), F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normalize_name_nfkd(names: pd.Series) -> pd.Series:
     """The same for all of Unicode, by full compatibility decomposition."""
     lowered = names.str.strip().str.lower()

@@ -35,7 +35,7 @@ def connector_edges(segments: DataFrame, connectors: str = "connectors") -> Data
     ordered = F.transform(F.array_sort(F.transform(connectors, lambda c: F.struct(c["at"].alias("at"), c["connector_id"].alias("id")))), lambda c: c["id"])
     n = F.size(ordered) - 1
     pairs = F.when(n > 0, F.arrays_zip(F.slice(ordered, F.lit(1), n).alias("a"), F.slice(ordered, F.lit(2), n).alias("b")))
-    return segments.withColumn("__e", F.explode(pairs)).select(*[c for c in segments.columns if c != connectors], F.col("__e.0").alias("a"), F.col("__e.1").alias("b"))
+    return segments.withColumn("__e", F.explode(pairs)).select(*[c for c in segments.columns if c != connectors], F.col("__e.a").alias("a"), F.col("__e.b").alias("b"))
 
 
 def degrees(edges: DataFrame) -> DataFrame:

@@ -86,7 +86,7 @@ SQL = {
     "places": "places AS (SELECT s_suppkey AS place_id, CAST(s_suppkey * 6007 % 20000 AS DOUBLE) AS x, CAST(s_suppkey * 15013 % 20000 AS DOUBLE) AS y, ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'][s_nationkey % 5 + 1] AS category, CAST(s_suppkey % 100 AS DOUBLE) / 100 AS confidence, s_name AS name, s_nationkey AS nation FROM supplier)",
     "units": "units AS (SELECT 'u_' || c || '_' || r AS unit_id, CAST(c AS BIGINT) AS col, CAST(r AS BIGINT) AS row, CAST(c * 1000 AS DOUBLE) AS x0, CAST(r * 1000 AS DOUBLE) AS y0, CAST(c * 1000 + 1000 AS DOUBLE) AS x1, CAST(r * 1000 + 1000 AS DOUBLE) AS y1 FROM range(20) a(c), range(20) b(r))",
     "nodes": "nodes AS (SELECT l_orderkey AS way, CAST(l_linenumber AS BIGINT) AS seq, min(l_partkey) AS node, CAST(l_orderkey * 7919 % 19000 + l_linenumber * 137 % 1000 AS DOUBLE) AS x, CAST(l_orderkey * 104729 % 19000 + l_linenumber * 311 % 1000 AS DOUBLE) AS y, bool_or(l_returnflag = 'R') AS is_major, min(l_linestatus) AS class FROM lineitem GROUP BY l_orderkey, l_linenumber)",
-    "segments": "segments AS (SELECT * FROM (SELECT way, seq, node AS a, lead(node) OVER w AS b, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by, is_major, class FROM nodes WINDOW w AS (PARTITION BY way ORDER BY seq)) WHERE b IS NOT NULL)",
+    "segments": "segments AS (SELECT * FROM (SELECT way, seq, node AS a, lead(node) OVER w AS b, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS b_y, is_major, class FROM nodes WINDOW w AS (PARTITION BY way ORDER BY seq)) WHERE b IS NOT NULL)",
     "pixels": "pixels AS (SELECT row, col, CASE WHEN k % 13 <> 0 THEN CAST(v AS DOUBLE) END AS value FROM (SELECT o_orderkey % 200 AS row, CAST(floor(o_orderkey / 200) AS BIGINT) % 200 AS col, min(o_orderkey) AS k, max(CAST(floor(o_totalprice) AS BIGINT)) AS v FROM orders GROUP BY 1, 2))",
     "built": "built AS (SELECT row, col, least((value % 101.0) / 100.0, 1.0) AS value FROM pixels)",
     "land": "land AS (SELECT row, col, CASE WHEN k % 17 = 0 THEN 0 ELSE [10, 20, 30, 40, 80, 95][k * 31 % 6 + 1] END AS class FROM (SELECT p_partkey % 40 AS row, CAST(floor(p_partkey / 40) AS BIGINT) % 40 AS col, min(p_partkey) AS k FROM part GROUP BY 1, 2))",
