@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,23 +105,39 @@ def robustness(ranks: DataFrame, by: list[str], ident: str, a: str, b: str, move
     return ranked.groupBy(*by).agg(F.count_if(F.abs(F.col("ra") - F.col("rb")) > move).alias("large_moves")).withColumn("robust", F.col("large_moves") <= most)
 
 
+def _frontier(points: np.ndarray) -> np.ndarray:
+    """Rows that no other row beats: met in order of their sum, a row can only be beaten by one that was kept before."""
+    kept = np.zeros((0, points.shape[1]))
+    for row in points[np.lexsort([*points.T[::-1], points.sum(axis=1)])]:
+        below = (kept <= row).all(axis=1)
+        if not (below & (kept < row).any(axis=1)).any():
+            kept = np.concatenate([kept, row[None]])
+    return kept
+
+
 def pareto(objectives: DataFrame, ident: str, columns: list[str]) -> DataFrame:
     """``ident, state``: ``frontier`` or ``dominated`` (lower is better); ``undetermined`` without all objectives.
 
-    Rows of a decision table are few; equal rows are folded first, then each is compared with those of no higher sum.
+    Each partition hands on its own frontier; the frontier of those is the whole one. A row is on it if its values are.
     """
     complete = F.lit(True)
     for c in columns:
         complete = complete & F.col(c).isNotNull()
-    known = objectives.where(complete).withColumn("__g", F.lit(1))
-    total = sum(F.col(c) for c in columns)
-    points = known.select("__g", *columns).distinct().withColumn("__sum", total)
-    other = points.select("__g", F.col("__sum").alias("__osum"), *[F.col(c).alias(f"o_{c}") for c in columns])
-    better = F.col("__osum") < F.col("__sum")
+    known = objectives.where(complete)
+    points = known.select(*[F.col(c).cast("double").alias(c) for c in columns])
+
+    def run(batches):
+        kept = np.zeros((0, len(columns)))
+        for b in batches:
+            kept = _frontier(np.concatenate([kept, np.column_stack([c.to_numpy() for c in b.columns])]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(kept[:, k])) for k in range(len(columns))], names=columns)
+
+    schema = ", ".join(f"`{c}` double" for c in columns)
+    best = points.mapInArrow(run, schema).coalesce(1).mapInArrow(run, schema).distinct().select(*[F.col(c).alias(f"b_{c}") for c in columns], F.lit(True).alias("__best"))
+    on = F.lit(True)
     for c in columns:
-        better = better & (F.col(f"o_{c}") <= F.col(c))
-    beaten = points.join(other, "__g").where(better).select(*columns).distinct().withColumn("__beaten", F.lit(True))
-    stated = known.drop("__g").join(beaten, columns, "left").select(ident, F.when(F.col("__beaten"), "dominated").otherwise("frontier").alias("state"))
+        on = on & (F.col(c).cast("double") == F.col(f"b_{c}"))
+    stated = known.join(best, on, "left").select(ident, F.when(F.col("__best"), "frontier").otherwise("dominated").alias("state"))
     return stated.unionByName(objectives.where(~complete).select(ident, F.lit("undetermined").alias("state")))
 
 

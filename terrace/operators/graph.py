@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rounds after which components are given up; a round shortens every path, so rounds follow its logarithm.
@@ -13,13 +13,9 @@ MAX_ROUNDS = 60
 
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage in the cluster's shared checkpoint folder; only where none is set (local work) a folder is made."""
-    spark: SparkSession = df.sparkSession
-    own = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not own:
-        own = "file://" + tempfile.mkdtemp(prefix="terrace-")
-        spark.conf.set("spark.checkpoint.dir", own)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(own)
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="terrace-"))
     return df.checkpoint()
 
 

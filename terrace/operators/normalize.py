@@ -32,9 +32,10 @@ def guard(value: Column, status: Column, name: str) -> Column:
 
 
 def log1p(value: Column, status: Column, name: str) -> Column:
-    """ln(1 + x) where ``ok``; negative values are an error."""
-    checked = F.when(value < 0, F.raise_error(F.lit(f"{name}: negative value")).cast("double")).otherwise(F.log1p(value))
-    return F.when(status == OK, checked)
+    """ln(1 + x) where ``ok``; negative values are an error, and so is a status that contradicts its value."""
+    wrong = F.raise_error(F.lit(f"{name}: value and status contradict each other")).cast("double")
+    negative = F.raise_error(F.lit(f"{name}: negative value")).cast("double")
+    return F.when(~consistent(value, status), wrong).when(value < 0, negative).when(status == OK, F.log1p(value))
 
 
 def fit_ecdf(rows: DataFrame, cohort: list[str], value: str = "value", status: str = "status", weight: Column | None = None, least: int = MIN_COHORT) -> DataFrame:

@@ -78,7 +78,7 @@ def clipped_lengths(segments: DataFrame, size: float) -> DataFrame:
     x0, y0 = F.col("col") * size, F.col("row") * size
     start, end = clip(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"), x0, y0, x0 + size, y0 + size)
     whole = F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2)
-    return dealt.withColumn("__from", start).withColumn("__to", end).where("__to > __from").withColumn("length", (F.col("__to") - F.col("__from")) * whole).drop("__from", "__to")
+    return dealt.withColumn("__from", start).withColumn("__to", end).where("__to > __from").withColumn("length", (F.col("__to") - F.col("__from")) * whole).where("length > 0").drop("__from", "__to")
 
 
 def overlap_areas(shapes: DataFrame, size: float, grid: float) -> DataFrame:

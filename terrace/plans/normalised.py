@@ -31,8 +31,7 @@ a AS (SELECT unit, area, context, CASE WHEN status = 'ok' THEN v END AS value, s
 
 def log1p_features(spark: SparkSession, d: str) -> DataFrame:
     rows = atomic(spark, d)
-    value = normalize.guard(F.col("value"), F.col("status"), "value")
-    return rows.select("unit", F.round(normalize.log1p(value, F.col("status"), "value"), 6).alias("log1p_value"), "status")
+    return rows.select("unit", F.round(normalize.log1p(F.col("value"), F.col("status"), "value"), 6).alias("log1p_value"), "status")
 
 
 LOG1P = ATOMIC + "SELECT unit, round(ln(1 + value), 6) AS log1p_value, status FROM a"
@@ -69,7 +68,7 @@ def percentiles(spark: SparkSession, d: str) -> DataFrame:
 
 
 PERCENTILES = ATOMIC + """, o AS (SELECT unit, rank() OVER w AS r, count(*) OVER (PARTITION BY area) AS n, cume_dist() OVER w AS cd FROM a WHERE status = 'ok' WINDOW w AS (PARTITION BY area ORDER BY value))
-SELECT unit, round(((r - 1) / n + cd) / 2, 6) AS pct_midrank, round((r - 1) / n, 6) AS pct_min, round(cd, 6) AS pct_max, 'ok' AS pct_status FROM o
+SELECT unit, CASE WHEN n >= 30 THEN round(((r - 1) / n + cd) / 2, 6) END AS pct_midrank, CASE WHEN n >= 30 THEN round((r - 1) / n, 6) END AS pct_min, CASE WHEN n >= 30 THEN round(cd, 6) END AS pct_max, CASE WHEN n >= 30 THEN 'ok' ELSE 'cohort_too_small' END AS pct_status FROM o
 UNION ALL SELECT unit, NULL, NULL, NULL, status FROM a WHERE status <> 'ok'"""
 
 
@@ -84,7 +83,7 @@ def unseen_percentiles(spark: SparkSession, d: str) -> DataFrame:
 
 UNSEEN = ATOMIC + """, q AS (SELECT s_suppkey AS unit, CASE WHEN s_suppkey % 10 = 0 THEN 77 ELSE n_regionkey END AS area, s_acctbal / 50 AS value FROM supplier JOIN nation ON n_nationkey = s_nationkey),
 n AS (SELECT area, count(*) AS n FROM a WHERE status = 'ok' GROUP BY area)
-SELECT q.unit, q.area, round((SELECT count(*) FILTER (a.value < q.value) + 0.5 * count(*) FILTER (a.value = q.value) FROM a WHERE a.area = q.area AND a.status = 'ok') / n.n, 6) AS pct, CASE WHEN n.n IS NULL THEN 'cohort_not_fitted' ELSE 'ok' END AS pct_status FROM q LEFT JOIN n USING (area)"""
+SELECT q.unit, q.area, CASE WHEN n.n >= 30 THEN round((SELECT count(*) FILTER (a.value < q.value) + 0.5 * count(*) FILTER (a.value = q.value) FROM a WHERE a.area = q.area AND a.status = 'ok') / n.n, 6) END AS pct, CASE WHEN n.n IS NULL THEN 'cohort_not_fitted' WHEN n.n < 30 THEN 'cohort_too_small' ELSE 'ok' END AS pct_status FROM q LEFT JOIN n USING (area)"""
 
 
 def weighted_percentiles(spark: SparkSession, d: str) -> DataFrame:

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def event_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
-    """A folder of Parquet files as a stream."""
-    return spark.readStream.schema(schema).parquet(folder)
+def event_stream(spark: SparkSession, folder: str, schema, names: str = "*.parquet") -> DataFrame:
+    """A folder's Parquet files of some names as a stream."""
+    return spark.readStream.schema(schema).option("pathGlobFilter", names).parquet(folder)
 
 
 def _marked(events: DataFrame, late: str) -> DataFrame:
-    return events.withWatermark("ts", late) if events.isStreaming else events
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
 
 
 def tumbling(events: DataFrame, width: str, late: str = "1 hour") -> DataFrame:
