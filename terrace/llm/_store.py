@@ -21,13 +21,18 @@ ARROW_ROWS = 1024
 HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+_TEMPORARY: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as a URI or path without a trailing slash."""
+    """The folder that driver and executors share, as a URI without a trailing slash."""
     own = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not own:
-        own = "file://" + tempfile.mkdtemp(prefix="terrace-")
-        spark.conf.set("spark.checkpoint.dir", own)
-    return own.rstrip("/")
+        if not _TEMPORARY:
+            _TEMPORARY.append("file://" + tempfile.mkdtemp(prefix="terrace-"))
+        own = _TEMPORARY[0]
+    where, files = hadoop_path(spark, own)
+    return files.makeQualified(where).toString().replace("file:/", "file:///", 1).replace("file://///", "file:///", 1).rstrip("/")
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -60,6 +65,19 @@ def release_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+_OWN: dict = {}
+
+
+def worker_own(name, make):
+    """What an operator keeps in its Python worker from task to task. A worker keeps one operator's at a time, so that the
+    stages of a pipeline, which share workers, do not add up."""
+    if name not in _OWN:
+        _OWN.clear()
+        gc.collect()
+        _OWN[name] = make()
+    return _OWN[name]
+
+
 class Scratch:
     """A family of scratch tables under one unique folder."""
 

@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_type
 
-from terrace.llm._store import ARROW_ROWS, small_batches
+from terrace.llm._store import ARROW_ROWS, small_batches, worker_own
 
 #: Distinct pieces that a worker keeps, the pieces of one query, and the bytes from which a piece is long.
 CACHE, PIECES, LONG = 600_000, 60_000, 64
@@ -179,13 +179,8 @@ class Numbered(dict):
         return k
 
 
-_MERGES: dict = {}
-
-
 def _merges(path: str, pattern: str) -> Merges:
-    if (path, pattern) not in _MERGES:
-        _MERGES[path, pattern] = Merges(path, pattern)
-    return _MERGES[path, pattern]
+    return worker_own(("bpe", path, pattern), lambda: Merges(path, pattern))
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, *, key: str = "doc_id", text: str = "text", full: bool = False) -> DataFrame:

@@ -24,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terrace.llm._store import small_batches
+from terrace.llm._store import small_batches, worker_own
 
 #: Longest context in bytes.
 ORDER = 4
 #: Bounds of what is learned from: documents of a language (chosen by a hash of their id), distinct words in all, languages.
-SAMPLE_DOCS, SAMPLE_WORDS, MAX_LANGUAGES = 2000, 240_000, 400
+SAMPLE_DOCS, SAMPLE_WORDS, MAX_LANGUAGES = 1500, 160_000, 400
+#: A context of three bytes or more is kept with the bytes that followed it at least so often.
+LEAST = 3
 #: Entries that a worker keeps of words and of contexts.
 CACHE = 200_000
 #: A text that costs more bits a byte than this in its best language (as many as bytes drawn at random) is in none of them.
@@ -48,6 +50,8 @@ class ContextTrees:
             for i in range(1, len(s)):
                 for k in range(min(ORDER, i) + 1):
                     c[s[i - k : i + 1]] += n
+        for lang, c in counts.items():
+            counts[lang] = Counter({g: n for g, n in c.items() if n >= LEAST or len(g) <= 3})
         self.bits, self.leave = [], []
         for lang in self.langs:
             total, kinds = Counter(), Counter()
@@ -81,7 +85,7 @@ class Scorer:
         self.word_at, self.word_bits = {}, np.zeros((0, len(self.trees.langs)))
 
     def _forget_grams(self):
-        self.gram_at, self.gram_bits = {}, []
+        self.gram_at, self.gram_bits = {}, np.zeros((4096, len(self.trees.langs)))
 
     def _learn(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self.word_at]
@@ -98,11 +102,13 @@ class Scorer:
                 g = s[i - ORDER if i > ORDER else 0 : i + 1]
                 k = at.get(g)
                 if k is None:
-                    k = at[g] = len(bits)
-                    bits.append(cost(g))
+                    k = at[g] = len(at)
+                    if k == len(bits):
+                        bits = self.gram_bits = np.concatenate([bits, np.zeros_like(bits)])
+                    bits[k] = cost(g)
                 index.append(k)
         if new:
-            rows = np.array(bits)[np.array(index)]
+            rows = bits[np.array(index)]
             start = len(self.word_at)
             self.word_at.update(zip(new, range(start, start + len(new))))
             self.word_bits = np.concatenate([self.word_bits, np.add.reduceat(rows, ends, axis=0)])
@@ -165,9 +171,6 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     return ContextTrees([(r[0], bytes(r[1]), int(r[2])) for r in kept])
 
 
-_SCORERS: dict = {}
-
-
 def identify(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFrame:
     """Add lang_pred, score (posterior of the best language under equal priors) and lang_bits (bits a byte, null for ``und``)."""
     spark = docs.sparkSession
@@ -177,10 +180,7 @@ def identify(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFr
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if model not in _SCORERS:  # a worker keeps its caches from task to task
-            _SCORERS.clear()
-            _SCORERS[model] = Scorer(shared.value)
-        scorer = _SCORERS[model]
+        scorer = worker_own(("language", model), lambda: Scorer(shared.value))
         langs = scorer.trees.langs
         for b in batches:
             texts = b.column(at).to_pylist()

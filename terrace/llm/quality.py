@@ -13,7 +13,6 @@ of its labels; without any labelled row every score is 0.5; repeated rows score
 from __future__ import annotations
 
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm._store import small_batches
+from terrace.llm._store import small_batches, worker_own
 from terrace.llm.langid import held_out
 
 #: Word buckets, rank of the interactions, labelled documents that the fit sees, passes over them.
@@ -46,11 +45,10 @@ class Words(dict):
         return own
 
 
-_WORDS = Words()
 _OF_CLASS = np.array([[bool(re.match(c, bytes([b]))) for b in range(256)] for _, c in CLASSES], float)
 
 
-def features(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def features(text: bytes, hashes: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word buckets, their values, and the statistics."""
     words = text.split()
     stats = np.zeros(len(STATISTICS) + LENGTHS)
@@ -59,7 +57,7 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     stats[len(STATISTICS) + min(LENGTHS - 1, int(np.log2(chars) / 2))] = 1
     if not words:
         return np.zeros(0, np.int32), np.zeros(0, np.float32), stats
-    raw = np.fromiter(map(_WORDS.__getitem__, words), np.int64, len(words))
+    raw = np.fromiter(map(hashes.__getitem__, words), np.int64, len(words))
     index = np.where(raw < 0, -raw - 1, raw)
     counts = np.bincount(index, minlength=BUCKETS) if len(index) > 2000 else None
     at, n = (np.flatnonzero(counts), counts[counts > 0]) if counts is not None else np.unique(index, return_counts=True)
@@ -138,8 +136,9 @@ def fit(rows: list[tuple[float, np.ndarray, np.ndarray, np.ndarray]], seed: int
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = worker_own("quality", Words)
     for b in batches:
-        rows = [features(t or b"") for t in b.column(1).cast(pa.binary()).to_pylist()]
+        rows = [features(t or b"", hashes) for t in b.column(1).cast(pa.binary()).to_pylist()]
         cols = [pa.array([r[k].astype(t).tobytes() for r in rows], pa.binary()) for k, t in enumerate(("<i4", "<f4", "<f8"))]
         yield pa.RecordBatch.from_arrays([b.column(0), *cols], ["y", "at", "x", "stats"])
 
@@ -156,25 +155,19 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return fit([unpack(r) for r in sorted(got, key=lambda r: (r[0], bytes(r[3]), bytes(r[1])))])
 
 
-_MACHINES: dict = {}
-
-
 def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
     """Add ``score``: the chance of label 1."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared, names, own = spark.sparkContext.broadcast(machine), docs.columns, uuid.uuid4().hex  # of fixed size
+    shared, names = spark.sparkContext.broadcast(machine), docs.columns  # of fixed size
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if own not in _MACHINES:
-            _MACHINES.clear()
-            _MACHINES[own] = shared.value
-        m = _MACHINES[own]
+        m, hashes = shared.value, worker_own("quality", Words)
         for b in batches:
             out = []
             for t in b.column(at).cast(pa.binary()).to_pylist():
-                k, x, stats = features(t or b"")
+                k, x, stats = features(t or b"", hashes)
                 out.append(m.score(k, x, m.dense(stats)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], [*names, "score"])
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm._store import Scratch, small_batches
+from terrace.llm._store import Scratch, small_batches, worker_own
 from terrace.llm.graph import components
 
 #: Shingle hashes that are unpacked to bits at a time.
@@ -154,9 +154,6 @@ class _Hashes(dict):
         return h
 
 
-_HASHES = _Hashes()
-
-
 def _lanes(h: np.ndarray, n: int) -> np.ndarray:
     """``n`` independent 64-bit hashes from each hash, (n, hashes)."""
     with np.errstate(over="ignore"):
@@ -183,10 +180,10 @@ def sketch(h: np.ndarray, n: int) -> np.ndarray:
 def _near_sketches(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bands, sketches = [], []
+            bands, sketches, hashes = [], [], worker_own("near copies", _Hashes)
             for text in b.column(b.num_columns - 1).cast(pa.binary()).to_pylist():
                 words = (text or b"").lower().split()
-                h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+                h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
                 chosen = np.unique(h[np.fromiter(map(len, words), np.int64, len(words)) >= LONG_WORD])
                 if len(chosen) < FEW:
                     chosen = np.unique(h)
@@ -238,7 +235,8 @@ def _posting_links(sure: int, most: int):
 
 def _shingle_set(text: bytes, shingle: int) -> np.ndarray:
     words = text.lower().split()
-    h, k = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words)), min(shingle, len(words))
+    hashes = worker_own("near copies", _Hashes)
+    h, k = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), min(shingle, len(words))
     chain = np.zeros(max(1, len(h) - shingle + 1), np.uint64)
     with np.errstate(over="ignore"):
         for j in range(k):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from terrace.llm._store import Scratch, release_shuffles, small_batches
+from terrace.llm._store import Scratch, release_shuffles, small_batches, worker_own
 
 #: Words of a window, and of the short and the middle prefix.
 WINDOW, SHORT, MIDDLE = 20, 1, 3
@@ -45,9 +45,6 @@ class WordHashes(dict):
         return h
 
 
-_HASHES = WordHashes()
-
-
 def labels(words: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
     """Chained labels of all prefixes of the given lengths; entry i is that of the words from i on."""
     n, out = len(words) - max(lengths) + 1, []
@@ -66,13 +63,13 @@ def labels(words: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Batches of documents: ids, numbers of words, the hashes of all words; documents in ascending id order."""
-    ids, parts, size = [], [], 0
+    ids, parts, size, hashes = [], [], 0, worker_own("substring", WordHashes)
     for b in batches:
         for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
             words = (text or b"").split()
             if len(words) >= WINDOW:
                 ids.append(doc_id)
-                parts.append(np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words)))
+                parts.append(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
                 size += len(words)
             if size >= BATCH_WORDS:
                 yield _ordered(ids, parts)

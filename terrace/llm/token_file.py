@@ -27,7 +27,7 @@ import pyarrow.ipc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm._store import Scratch, small_batches
+from terrace.llm._store import Scratch, small_batches, worker_own
 
 SEQUENCE, BATCH = 2048, 128
 #: Bytes of text that a shard is meant for, the least number of shards, and the most (shards then grow).
@@ -106,13 +106,8 @@ class WordEncoder(dict):
         return [b"".join(map(get, (t or b"").split())) + end for t in texts]
 
 
-_ENCODERS: dict = {}
-
-
 def _encoder(path: str, dtype: str) -> WordEncoder:
-    if (path, dtype) not in _ENCODERS:
-        _ENCODERS[path, dtype] = WordEncoder(path, dtype)
-    return _ENCODERS[path, dtype]
+    return worker_own(("tokens", path, dtype), lambda: WordEncoder(path, dtype))
 
 
 def _encode(path: str, dtype: str, end_id: int, bounds: np.ndarray):
