@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.functions import grid
-from terrace.operators import audit, features, spatial_join
+from terrace.functions import geometry, grid
+from terrace.operators import audit, features, polygons, spatial_join
 from terrace.sources import layers
 from terrace.sources.layers import with_layers
 
@@ -226,6 +226,40 @@ SELECT st.unit_id, round(population, 4) AS population, round(land_km2, 6) AS lan
   CASE WHEN ns.st = 'ok' THEN round(dist, 6) END AS distance_m, ns.st AS distance_m_status
 FROM st LEFT JOIN n USING (unit_id) JOIN ns USING (unit_id)""")
 
+def _triangles(spark: SparkSession, d: str) -> DataFrame:
+    """A triangle at every supplier, by whole numbers."""
+    s = F.col("s_suppkey")
+    x, y = (s * 6007 % 18_000).cast("double"), (s * 15_013 % 18_000).cast("double")
+    corners = ((x, y), (x + s % 13 * 100 + 300, y + s % 5 * 100), (x + s % 7 * 100, y + s % 11 * 100 + 500))
+    return layers.read(spark, d, "supplier").select(s.alias("shape"), geometry.ring(*corners).alias("ring"))
+
+
+_TRIANGLES = """t AS (SELECT s_suppkey AS shape, CAST(s_suppkey * 6007 % 18000 AS DOUBLE) AS ax, CAST(s_suppkey * 15013 % 18000 AS DOUBLE) AS ay, CAST(s_suppkey * 6007 % 18000 + s_suppkey % 13 * 100 + 300 AS DOUBLE) AS bx, CAST(s_suppkey * 15013 % 18000 + s_suppkey % 5 * 100 AS DOUBLE) AS b_y,
+  CAST(s_suppkey * 6007 % 18000 + s_suppkey % 7 * 100 AS DOUBLE) AS cx, CAST(s_suppkey * 15013 % 18000 + s_suppkey % 11 * 100 + 500 AS DOUBLE) AS cy FROM supplier)"""
+
+
+def polygon_points(spark: SparkSession, d: str) -> DataFrame:
+    """Points inside each triangle or on its edge."""
+    met = polygons.points_in(layers.pois(spark, d), _triangles(spark, d), "poi_id", "shape", 500.0)
+    return met.groupBy("shape").agg(F.count(F.lit(1)).alias("n"), F.min("poi_id").alias("first"))
+
+
+POLYGON_POINTS = with_layers("pois", "WITH " + _TRIANGLES + """,
+s AS (SELECT shape, poi_id, (bx - ax) * (y - ay) - (b_y - ay) * (x - ax) AS e1, (cx - bx) * (y - b_y) - (cy - b_y) * (x - bx) AS e2, (ax - cx) * (y - cy) - (ay - cy) * (x - cx) AS e3
+      FROM t JOIN pois ON x BETWEEN least(ax, bx, cx) AND greatest(ax, bx, cx) AND y BETWEEN least(ay, b_y, cy) AND greatest(ay, b_y, cy))
+SELECT shape, count(*) AS n, min(poi_id) AS first FROM s WHERE (e1 >= 0 AND e2 >= 0 AND e3 >= 0) OR (e1 <= 0 AND e2 <= 0 AND e3 <= 0) GROUP BY shape""")
+
+
+def polygon_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Triangles cut at cells of 300 m: their pieces hold the triangle's area together."""
+    cut = polygons.cell_overlaps(_triangles(spark, d), "shape", 300.0)
+    whole = _triangles(spark, d).select("shape", geometry.area(F.col("ring")).alias("whole"))
+    sums = cut.groupBy("shape").agg(F.sum("area").alias("area"), F.max("area").alias("largest")).join(whole, "shape")
+    return sums.select("shape", F.round("area", 3).alias("area"), (F.abs(F.col("area") - F.col("whole")) < 1e-3).alias("conserved"), (F.col("largest") <= 90_000.001).alias("fits"))
+
+
+POLYGON_CELLS = "WITH " + _TRIANGLES + " SELECT shape, round(abs((bx - ax) * (cy - ay) - (b_y - ay) * (cx - ax)) / 2, 3) AS area, true AS conserved, true AS fits FROM t"
+
 QUERIES = {
     "feature_flagship": (feature_flagship, FLAGSHIP),
     "cell_lookup": (cell_lookup, CELL_LOOKUP),
@@ -239,4 +273,6 @@ QUERIES = {
     "polygon_overlap": (polygon_overlap, POLYGON_OVERLAP),
     "utm_projection": (utm_projection, UTM),
     "tile_cover": (tile_cover, TILE_COVER),
+    "polygon_points": (polygon_points, POLYGON_POINTS),
+    "polygon_cells": (polygon_cells, POLYGON_CELLS),
 }
