@@ -23,6 +23,8 @@ from terrace.llm._store import Scratch
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Distinct membership patterns that the driver's flow accepts.
 MAX_PATTERNS = 20_000
+#: No source: null is one.
+_NONE = object()
 #: Hex digits of the seeded key that make a bucket of the distributed prefix sum.
 BUCKET_DIGITS = 3
 
@@ -67,8 +69,8 @@ def min_cost_flow(patterns: Mapping[tuple, int], quotas: Mapping, repeats: int)
         left = dict(patterns)
         for start in patterns:
             while left[start] > 0:
-                seen, queue, found = {start: None}, [start], None
-                while queue and found is None:
+                seen, queue, found = {start: _NONE}, [start], _NONE
+                while queue and found is _NONE:
                     p = queue.pop(0)
                     for s in p:
                         if ("s", s) in seen or s not in need:
@@ -81,7 +83,7 @@ def min_cost_flow(patterns: Mapping[tuple, int], quotas: Mapping, repeats: int)
                             if other not in seen and flow[other][s] > 0:
                                 seen[other] = s
                                 queue.append(other)
-                if found is None:
+                if found is _NONE:
                     break
                 path, s = [], found
                 while True:
@@ -90,10 +92,10 @@ def min_cost_flow(patterns: Mapping[tuple, int], quotas: Mapping, repeats: int)
                     if p == start:
                         break
                     s = seen[p]
-                amount = min([left[start], need[found], *(flow[p][back] for p, _, back in path if back is not None)])
+                amount = min([left[start], need[found], *(flow[p][back] for p, _, back in path if back is not _NONE)])
                 for p, s, back in path:
                     flow[p][s] += amount
-                    if back is not None:
+                    if back is not _NONE:
                         flow[p][back] -= amount
                 left[start] -= amount
                 need[found] -= amount
