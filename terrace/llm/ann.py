@@ -23,7 +23,7 @@ from terrace.llm import vectors
 from terrace.llm._store import Scratch, small_batches
 
 #: Rows that codebooks are fitted on, rounds of the fit, rows of a shard that are ranked exactly for a query.
-SAMPLE, ROUNDS, RERANK = 16_384, 8, 128
+SAMPLE, ROUNDS, RERANK = 16_384, 8, 256
 #: Inner products from this share of the greatest are the ones to keep exact.
 THRESHOLD = 0.2
 CENTRES = 16
