@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions import grid
-from terrace.operators import experiment
+from terrace.operators import experiment, grids
 from terrace.plans.normalised import UNIT_VALUES, _unit_values
 from terrace.plans.places import rounded
 from terrace.sources import layers
@@ -244,7 +244,69 @@ WITH g AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER w + INTERVAL 3 HOURS
 s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
 SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS n FROM s GROUP BY user_id, k"""
 
+#: An area that cuts through cells.
+AREA = grids.Area(1250.0, 700.0, 18_900.0, 19_333.0)
+
+
+def square_units(spark: SparkSession, d: str) -> DataFrame:
+    """Units of a shifted square grid over an area: how many points each holds inside the area."""
+    square = grids.SquareGrid(900.0, 100.0, 50.0)
+    a, b = square.lookup(F.col("x"), F.col("y"))
+    inside = layers.pois(spark, d).where(F.col("x").between(AREA.x0, AREA.x1) & F.col("y").between(AREA.y0, AREA.y1))
+    counts = inside.groupBy(a.alias("a"), b.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    units = square.units(spark, AREA).join(counts, ["a", "b"], "left")
+    return units.select("unit_id", "overlap_m2", F.round("overlap_share", 6).alias("overlap_share"), "rep_x", "rep_y", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+SQUARE_UNITS = with_layers("pois", """
+WITH u AS (SELECT a, b, 900.0::DOUBLE * a + 100 AS x0, 900.0::DOUBLE * b + 50 AS y0 FROM range(1, 21) t(a), range(0, 22) s(b)),
+o AS (SELECT *, greatest(0, least(x0 + 900, 18900) - greatest(x0, 1250)) * greatest(0, least(y0 + 900, 19333) - greatest(y0, 700)) AS overlap FROM u),
+n AS (SELECT CAST(floor((x - 100) / 900) AS BIGINT) AS a, CAST(floor((y - 50) / 900) AS BIGINT) AS b, count(*) AS n FROM pois WHERE x BETWEEN 1250 AND 18900 AND y BETWEEN 700 AND 19333 GROUP BY 1, 2)
+SELECT 'sq900|' || a || '_' || b AS unit_id, overlap AS overlap_m2, round(overlap / 810000, 6) AS overlap_share, x0 + 450 AS rep_x, y0 + 450 AS rep_y, coalesce(n, 0) AS n FROM o LEFT JOIN n USING (a, b)""")
+
+
+def hex_units(spark: SparkSession, d: str) -> DataFrame:
+    """Hexagons that meet an area cover it once: their parts add up to it; and every point inside is in one of them."""
+    hexes = grids.HexGrid(700.0)
+    units = hexes.units(spark, AREA)
+    q, r = hexes.lookup(F.col("x"), F.col("y"))
+    inside = layers.pois(spark, d).where(F.col("x").between(AREA.x0, AREA.x1) & F.col("y").between(AREA.y0, AREA.y1))
+    held = inside.select(q.alias("a"), r.alias("b")).join(units.select("a", "b"), ["a", "b"])
+    total = units.agg(F.round(F.sum("overlap_m2"), 2).alias("covered"))
+    return total.crossJoin(held.agg(F.count(F.lit(1)).alias("points")))  # two single rows
+
+
+HEX_UNITS = with_layers("pois", "SELECT round((18900.0::DOUBLE - 1250) * (19333 - 700), 2) AS covered, count(*) AS points FROM pois WHERE x BETWEEN 1250 AND 18900 AND y BETWEEN 700 AND 19333")
+
+
+def hash_places(spark: SparkSession, d: str) -> DataFrame:
+    """How many of a thousand seeded places fall to each cell of 2 km."""
+    points = grids.hash_points(spark, 1000, AREA, "20260914")
+    return points.groupBy(F.floor(F.col("x") / 2000).cast("long").alias("col"), F.floor(F.col("y") / 2000).cast("long").alias("row")).agg(F.count(F.lit(1)).alias("n"))
+
+
+HASH_PLACES = """
+WITH h AS (SELECT md5('20260914' || i) AS m FROM range(1000) t(i)),
+p AS (SELECT 1250 + CAST(CAST('0x' || m[1:8] AS BIGINT) AS DOUBLE) / 4294967296 * 17650 AS x, 700 + CAST(CAST('0x' || m[9:16] AS BIGINT) AS DOUBLE) / 4294967296 * 18633 AS y FROM h)
+SELECT CAST(floor(x / 2000) AS BIGINT) AS col, CAST(floor(y / 2000) AS BIGINT) AS row, count(*) AS n FROM p GROUP BY 1, 2"""
+
+
+def admin_qualification(spark: SparkSession, d: str) -> DataFrame:
+    """What a table of places offers for each region: rows, named ones, kinds, extents; one conditional aggregation."""
+    joined = layers.pois(spark, d).join(F.broadcast(layers.read(spark, d, "nation")), F.col("nation") == F.col("n_nationkey"))  # 25 rows at any size
+    return joined.groupBy("n_regionkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("weight") < 0, 1).otherwise(0)).cast("long").alias("negative"), F.countDistinct("category").alias("kinds"),
+        F.min("x").alias("west"), F.max("x").alias("east"), F.min("y").alias("south"), F.max("y").alias("north"),
+    )
+
+
+ADMIN = with_layers("pois", "SELECT n_regionkey, count(*) AS n, CAST(sum(CASE WHEN weight < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negative, count(DISTINCT category) AS kinds, min(x) AS west, max(x) AS east, min(y) AS south, max(y) AS north FROM pois JOIN nation ON n_nationkey = nation GROUP BY n_regionkey")
+
 QUERIES = {
+    "square_units": (square_units, SQUARE_UNITS),
+    "hex_units": (hex_units, HEX_UNITS),
+    "hash_places": (hash_places, HASH_PLACES),
+    "admin_qualification": (admin_qualification, ADMIN),
     "metric_quantiles": (metric_quantiles, METRIC_QUANTILES),
     "sparsity": (sparsity, SPARSITY),
     "within_loss": (within_loss, WITHIN_LOSS),
