@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import gc
 import os
 import tempfile
@@ -72,8 +73,11 @@ def worker_own(name, make):
     """What an operator keeps in its Python worker from task to task. A worker keeps one operator's at a time, so that the
     stages of a pipeline, which share workers, do not add up."""
     if name not in _OWN:
-        _OWN.clear()
-        gc.collect()
+        if _OWN:
+            _OWN.clear()
+            gc.collect()
+            with contextlib.suppress(Exception):  # hand the memory back where the C library can
+                ctypes.CDLL(None).malloc_trim(0)
         _OWN[name] = make()
     return _OWN[name]
 

@@ -30,7 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from terrace.llm._store import ARROW_ROWS, small_batches, worker_own
 
 #: Distinct pieces that a worker keeps, the pieces of one query, and the bytes from which a piece is long.
-CACHE, PIECES, LONG = 600_000, 60_000, 64
+CACHE, PIECES, LONG = 450_000, 60_000, 64
 #: Pieces of texts that wait for a query.
 HELD = 4_000_000
 

@@ -33,7 +33,7 @@ WINDOW, SHORT, MIDDLE = 20, 1, 3
 #: Entries of the prefix tables.
 SHORT_TABLE, MIDDLE_TABLE = 1 << 12, 1 << 16
 #: Suffixes of a group at most, groups at least, words of a batch, hashed words that a worker keeps, bytes of text of a final bucket.
-GROUP, MIN_GROUPS, BATCH_WORDS, CACHE, BUCKET_BYTES = 2_000_000, 64, 1_200_000, 250_000, 16 << 20
+GROUP, MIN_GROUPS, BATCH_WORDS, CACHE, BUCKET_BYTES = 2_000_000, 64, 500_000, 120_000, 8 << 20
 NO_ID = -(1 << 63)
 
 
@@ -201,16 +201,24 @@ def _subtree(buckets: int):
     """Repeats of one group: leaves of deep internal nodes but for each node's first, packed by the documents' final bucket."""
 
     def run(table: pa.Table) -> pa.Table:
-        cols = [table.column(n).to_pylist() for n in RECORD]
+        cols = [[x.as_buffer() for x in table.column(n)] for n in RECORD]
         label = np.concatenate([np.frombuffer(x, np.uint64) for x in cols[0]])
-        pairs = [_unpacked(*x) for x in zip(*cols[1:4])]
-        known = [_unpacked(*x) for x in zip(*cols[4:7])]
-        ids, start = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
         order = np.argsort(label, kind="stable")
         at = _runs(label[order])
         size = np.diff(np.append(at, len(order)))
-        leaves = order[np.repeat(size > 1, size)]  # below an internal node
-        late = leaves[~_same_place(label[leaves], ids[leaves], start[leaves])]
+        leaves = np.sort(order[np.repeat(size > 1, size)])  # below an internal node
+        del order, at, size
+        label = label[leaves]
+        ends = np.cumsum([len(x) // 8 for x in cols[0]])
+        ids, start = np.empty(len(leaves), np.int64), np.empty(len(leaves), np.int64)
+        for k, x in enumerate(zip(*cols[1:4])):  # places of the leaves only
+            lo, hi = np.searchsorted(leaves, [ends[k - 1] if k else 0, ends[k]])
+            if hi > lo:
+                own = _unpacked(*x)
+                where = leaves[lo:hi] - (ends[k - 1] if k else 0)
+                ids[lo:hi], start[lo:hi] = own[0][where], own[1][where]
+        late = ~_same_place(label, ids, start)
+        known = [_unpacked(*x) for x in zip(*cols[4:7])]
         ids = np.concatenate([ids[late], *(k[0] for k in known)])
         start = np.concatenate([start[late], *(k[1] for k in known)])
         bucket = _bucket(ids, buckets)
