@@ -5,7 +5,8 @@ its exact code length under each tree: a byte costs -log2 of its probability in
 context; a context that has not seen the byte is left at the price of its escape probability (method C: distinct
 symbols over total plus distinct symbols, without exclusions), down to a uniform order. Contexts do not
 reach across white space and letters are lower-cased, so a text's length is the sum of its words' lengths,
-each closed by one separator, and equal words are scored once.
+each closed by one separator, and equal words are scored once. Words with digits, ``@`` or ``=`` (numbers,
+addresses, keys) belong to no language and cost nothing.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter, and for every text if there was
 nothing to learn from; ties go to the language that is first in code point order; repeated rows score alike.
@@ -82,7 +83,8 @@ class Scorer:
         self._forget_grams()
 
     def _forget_words(self):
-        self.word_at, self.word_bits = {}, np.zeros((0, len(self.trees.langs)))
+        """The table of words has a column of bits for each language, and one of the bytes that count."""
+        self.word_at, self.word_bits = {}, np.zeros((0, len(self.trees.langs) + 1))
 
     def _forget_grams(self):
         self.gram_at, self.gram_bits = {}, np.zeros((4096, len(self.trees.langs)))
@@ -111,12 +113,14 @@ class Scorer:
             rows = bits[np.array(index)]
             start = len(self.word_at)
             self.word_at.update(zip(new, range(start, start + len(new))))
-            self.word_bits = np.concatenate([self.word_bits, np.add.reduceat(rows, ends, axis=0)])
+            counted = np.array([0 if _NOT_WORDS.search(w) else len(w) + 1 for w in new])
+            costs = np.add.reduceat(rows, ends, axis=0) * (counted > 0)[:, None]
+            self.word_bits = np.concatenate([self.word_bits, np.column_stack([costs, counted])])
 
     def lengths(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Bits by text and language, and the bytes that were coded."""
+        """Bits by text and language, and the bytes that were coded (with a separator for each word)."""
         split = [t.split() for t in texts]
-        out, sizes, at = np.zeros((len(texts), len(self.trees.langs))), np.zeros(len(texts), np.int64), 0
+        out, at = np.zeros((len(texts), len(self.trees.langs) + 1)), 0
         while at < len(split):
             upto, words = at, set()
             while upto < len(split) and len(words) < CACHE // 2:
@@ -129,9 +133,12 @@ class Scorer:
                     index = np.fromiter(map(get, ws), np.int64, len(ws))
                     for lo in range(0, len(index), 65_536):
                         out[i] += self.word_bits[index[lo : lo + 65_536]].sum(axis=0)
-                    sizes[i] = sum(map(len, ws)) + len(ws)
             at = upto
-        return out, sizes
+        return out[:, :-1], out[:, -1]
+
+
+#: Words with such characters belong to no language.
+_NOT_WORDS = re.compile(rb"[0-9@=]")
 
 
 def _has_letter(text: str) -> bool:
@@ -143,7 +150,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         found: dict[str, Counter] = {}
         for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            found.setdefault(lang, Counter()).update((text or "").lower().encode().split())
+            found.setdefault(lang, Counter()).update(w for w in (text or "").lower().encode().split() if not _NOT_WORDS.search(w))
         rows = [(lang, w[:256], n) for lang, c in found.items() for w, n in c.items()]
         if rows:
             cols = list(zip(*rows))
@@ -191,7 +198,7 @@ def identify(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFr
                 best = int(bits[i].argmin()) if k else -1
                 pred.append(langs[best] if k else UNKNOWN)
                 score.append(float(1 / np.exp2(np.minimum(bits[i][best] - bits[i], 0)).sum()) if k else 0.0)
-                rate.append(float(bits[i][best] / sizes[i]) if k else None)
+                rate.append(float(bits[i][best] / max(1, sizes[i])) if k else None)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())], [*names, "lang_pred", "score", "lang_bits"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
