@@ -141,6 +141,8 @@ LONG_WORD, FEW = 6, 10
 #: Standard deviations of a pair's differing bits, from their mean at the similarity asked for: pairs that differ in fewer
 #: bits than the one below are surely as similar, those with more than the one above surely not; all others are compared exactly.
 SURE = 2.6
+#: Members up to which all open pairs of a posting are compared at once; of larger ones, each text's nearest first.
+SMALL, NEAREST = 24, 3
 #: Words of the fixed bitmap that keeps texts without an open pair from being shuffled.
 BITMAP = 1 << 16
 _LOW = np.uint64(0x0101010101010101)
@@ -148,7 +150,7 @@ _LOW = np.uint64(0x0101010101010101)
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 250_000:
+        if len(self) >= 120_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word, 3)
         return h
@@ -203,10 +205,13 @@ def _bounds(similarity: float, bits: int) -> tuple[int, int]:
     return int(bits * p - spread), int(bits * p + spread)
 
 
-def _posting_links(sure: int, most: int):
-    """Of each posting, a spanning forest of its sure links, and the open pairs between the forest's trees.
+def _posting_links(sure: int, most: int, first: bool):
+    """Links of each posting: ``sure`` ones, and the open pairs that are to be compared exactly.
 
-    Pairs are compared in blocks and never listed.
+    The first time, texts that sure links join come out with the smallest of them, and open pairs between such groups: all of a
+    small posting's, but of a large one each text's nearest and those with the texts nearest to all. The second time,
+    for large postings only, members carry the group that they belong to by then, and all open pairs between groups come out.
+    Pairs are compared row by row and never held.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,18 +220,34 @@ def _posting_links(sure: int, most: int):
             for members in b.column(0):
                 rows = members.values
                 h1, h2 = rows.field(0).to_numpy(), rows.field(1).to_numpy()
-                words = np.frombuffer(b"".join(rows.field(2).to_pylist()), np.uint64).reshape(-1, LANES)
-                root = np.arange(len(words))
-                for final in (True, False):
-                    for i in range(len(words) - 1):
-                        later = i + 1 + np.flatnonzero(root[i + 1 :] != root[i])
-                        differ = np.bitwise_count(words[later] ^ words[i]).sum(axis=1, dtype=np.int64)
-                        for j in later[differ <= sure if final else (differ > sure) & (differ <= most)].tolist():
-                            if final and root[j] != root[i]:
-                                root[root == root[j]] = root[i]
-                            elif final:
-                                continue
-                            out.append((final, h1[i], h2[i], h1[j], h2[j]))
+                order = np.lexsort([h2, h1])
+                h1, h2 = h1[order], h2[order]
+                words = np.frombuffer(b"".join(rows.field(2).to_pylist()), np.uint64).reshape(-1, LANES)[order]
+                differing = lambda i, words=words: np.bitwise_count(words ^ words[i]).sum(axis=1, dtype=np.int64)
+                n = len(words)
+                sums = np.zeros(n, np.int64)
+                if first:
+                    root = np.arange(n)  # the smallest member that each is linked with
+                    for i in range(n):
+                        differ = differing(i)
+                        sums[i] = differ.sum()
+                        near = np.flatnonzero((differ <= sure) & (root != root[i]))
+                        if len(near):
+                            met = np.unique(np.append(root[near], root[i]))
+                            root[np.isin(root, met)] = met[0]
+                    out += [(True, h1[i], h2[i], h1[j], h2[j]) for j, i in enumerate(root.tolist()) if i != j]
+                else:
+                    root = np.unique(np.column_stack([rows.field(3).to_numpy(), rows.field(4).to_numpy()])[order], axis=0, return_inverse=True)[1].reshape(-1)
+                hubs = np.argsort(sums, kind="stable")[:NEAREST]
+                for i in range(n):
+                    differ = differing(i)
+                    open_ = np.flatnonzero((differ > sure) & (differ <= most) & (root != root[i]))
+                    if first and n > SMALL and len(open_):
+                        nearest = open_[np.argsort(differ[open_], kind="stable")[:NEAREST]]
+                        open_ = np.union1d(nearest, np.intersect1d(open_, hubs))
+                        out += [(False, h1[x], h2[x], h1[y], h2[y]) for x, y in zip(np.minimum(open_, i).tolist(), np.maximum(open_, i).tolist())]
+                    else:
+                        out += [(False, h1[i], h2[i], h1[j], h2[j]) for j in open_[open_ > i].tolist()]
             cols = list(zip(*out)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.bool_()), *(pa.array(c, pa.int64()) for c in cols[1:])], ["sure", "a1", "a2", "b1", "b2"])
 
@@ -267,7 +288,7 @@ def _similar(similarity: float):
     return run
 
 
-def _verified(pairs: DataFrame, marked: DataFrame, first: DataFrame, key: str, text: str, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
+def _verified(pairs: DataFrame, marked: DataFrame, first: DataFrame, key: str, text: str, shingle: int, similarity: float, scratch: Scratch, tag: str) -> DataFrame:
     """Those of the open pairs whose sets of shingles are as similar as asked for.
 
     Only texts with an open pair are shuffled, one row of each: a bitmap of fixed size holds back the others.
@@ -289,20 +310,26 @@ def _verified(pairs: DataFrame, marked: DataFrame, first: DataFrame, key: str, t
     some = marked.select("__h1", "__h2", F.col(key).alias("__own"), F.col(text).alias("__text")).where(maybe("__h1"))
     one = some.join(ids, (F.col("__h1") == F.col("h1")) & (F.col("__h2") == F.col("h2")) & F.col("__own").eqNullSafe(F.col("__id")))
     sets = one.select("h1", "h2", "__text").mapInArrow(_shingle_sets(shingle), "s1 long, s2 long, set binary").dropDuplicates(["s1", "s2"])
-    sets = scratch.save(sets, "sets")
+    sets = scratch.save(sets, tag)
     left = pairs.join(sets.withColumnRenamed("set", "x"), (F.col("a1") == F.col("s1")) & (F.col("a2") == F.col("s2"))).drop("s1", "s2")
     both = left.join(sets.withColumnRenamed("set", "y"), (F.col("b1") == F.col("s1")) & (F.col("b2") == F.col("s2"))).select("a1", "a2", "b1", "b2", "x", "y")
     return both.mapInArrow(_similar(similarity), "a1 long, a2 long, b1 long, b2 long")
 
 
+def _rooted(links: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
+    """``n1, n2, root`` of every text that has a link: the smallest text that it is connected with."""
+    ends = [F.struct(F.col(f"{x}1").alias("h1"), F.col(f"{x}2").alias("h2")).alias(x) for x in "ab"]
+    return components(links.select(*ends), scratch, tag).select(F.col("node.h1").alias("n1"), F.col("node.h2").alias("n2"), "root")
+
+
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one document of each group of near copies: the one of smallest ``key`` (null last).
 
     Exact copies are folded first. Each different text has a 512-bit SimHash of its set of word shingles, and a SimHash of its
     long words whose positional bytes, three by three, are the postings of the index. For texts that meet in a posting the
     differing bits of their shingle sketches are counted: few enough, and they are linked; too many, and they are not; between
-    the two, their sets of shingles are compared. Of sure links a posting hands on a spanning forest, and open pairs only
-    between its trees. Rows that repeat key and text count as one document; a null text is an empty one.
+    the two, their sets of shingles are compared. Of sure links a posting hands on the groups that they make, and open pairs
+    only between such groups. Rows that repeat key and text count as one document; a null text is an empty one.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -313,13 +340,23 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *
     rows = scratch.save(plain.mapInArrow(_near_sketches(shingle), f"h1 long, h2 long, id {kind}, bands array<long>, sketch binary"), "sketches")
     texts = rows.groupBy("h1", "h2").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     postings = texts.select(F.explode("bands").alias("band"), F.struct("h1", "h2", "sketch").alias("m")).groupBy("band").agg(F.collect_list("m").alias("m")).where("size(m) > 1").select("m")
-    found = postings.mapInArrow(_posting_links(*_bounds(similarity, 64 * LANES)), "sure boolean, a1 long, a2 long, b1 long, b2 long").distinct()
-    found = scratch.save(found, "pairs")
+    postings = scratch.save(postings, "postings")  # only texts that share one
+    bounds, schema, pair = _bounds(similarity, 64 * LANES), "sure boolean, a1 long, a2 long, b1 long, b2 long", ["a1", "a2", "b1", "b2"]
+    found = scratch.save(postings.mapInArrow(_posting_links(*bounds, True), schema).distinct(), "pairs")
     first = rows.groupBy("h1", "h2").agg(F.min("id").alias("id"))
-    pair = ["a1", "a2", "b1", "b2"]
-    linked = found.where("sure").select(*pair).unionByName(_verified(found.where("not sure").select(*pair), marked, first, key, text, shingle, similarity, scratch))
-    edges = linked.select(F.struct(F.col("a1").alias("h1"), F.col("a2").alias("h2")).alias("a"), F.struct(F.col("b1").alias("h1"), F.col("b2").alias("h2")).alias("b"))
-    roots = components(edges, scratch, "links").select(F.col("node.h1").alias("n1"), F.col("node.h2").alias("n2"), "root")
+    verify = lambda pairs, tag: _verified(pairs, marked, first, key, text, shingle, similarity, scratch, tag)
+    linked = found.where("sure").select(*pair).unionByName(verify(found.where("not sure").select(*pair), "sets"))
+    joined = _rooted(linked, scratch, "links")
+    # Large postings once more: what is still apart there is compared wholly.
+    large = postings.where(F.size("m") > SMALL).select(F.monotonically_increasing_id().alias("p"), F.explode("m").alias("m")).select("p", "m.*")
+    placed = large.join(joined, (large.h1 == joined.n1) & (large.h2 == joined.n2), "left")
+    member = F.struct("h1", "h2", "sketch", F.coalesce("root.h1", "h1").alias("r1"), F.coalesce("root.h2", "h2").alias("r2"))
+    again = placed.groupBy("p").agg(F.collect_list(member).alias("m")).select("m").mapInArrow(_posting_links(*bounds, False), schema).select(*pair).distinct()
+    rest = scratch.save(again.join(found.where("not sure"), pair, "left_anti"), "rest")
+    roots = joined
+    if not rest.isEmpty():
+        stars = joined.select(F.col("root.h1").alias("a1"), F.col("root.h2").alias("a2"), F.col("n1").alias("b1"), F.col("n2").alias("b2"))
+        roots = _rooted(stars.unionByName(verify(rest, "sets2")), scratch, "links2")
     rooted = first.join(roots, (first.h1 == roots.n1) & (first.h2 == roots.n2), "left").withColumn("root", F.coalesce("root", F.struct("h1", "h2")))
     kept = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h1", "h2")).alias("k"))
     kept = scratch.save(kept.select(F.col("k.id").alias("__id"), F.col("k.h1").alias("__k1"), F.col("k.h2").alias("__k2")), "kept")
