@@ -12,8 +12,10 @@ import ctypes
 import gc
 import os
 import tempfile
+import time
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of one Arrow batch: documents can be long, so batches are kept short.
@@ -61,14 +63,39 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop shuffle files of finished jobs: it follows the collection of their plans."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let Spark's cleaner drop shuffle files of finished jobs before more are written.
+
+    The cleaner follows the collection of their plans, in Python first and then in the JVM, and works by itself:
+    it is given a moment, twice, as the first collection frees what the second one finds.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(1)
 
 
 _OWN: dict = {}
 
 
+def hand_back() -> None:
+    """Return freed memory to the machine: workers stay between tasks, and so would what their allocators hold."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(Exception):  # where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(kernel):
+    """A kernel over batches that hands memory back when its task ends."""
+
+    def run(batches):
+        try:
+            yield from kernel(batches)
+        finally:
+            hand_back()
+
+    return run
+
+
 def worker_own(name, make):
     """What an operator keeps in its Python worker from task to task. A worker keeps one operator's at a time, so that the
     stages of a pipeline, which share workers, do not add up."""
@@ -76,8 +103,7 @@ def worker_own(name, make):
         if _OWN:
             _OWN.clear()
             gc.collect()
-            with contextlib.suppress(Exception):  # hand the memory back where the C library can
-                ctypes.CDLL(None).malloc_trim(0)
+            hand_back()
         _OWN[name] = make()
     return _OWN[name]
 

@@ -27,10 +27,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_type
 
-from terrace.llm._store import ARROW_ROWS, small_batches, worker_own
+from terrace.llm._store import ARROW_ROWS, small_batches, tidy, worker_own
 
 #: Distinct pieces that a worker keeps, the pieces of one query, and the bytes from which a piece is long.
-CACHE, PIECES, LONG = 450_000, 60_000, 64
+CACHE, PIECES, LONG = 350_000, 40_000, 64
 #: Pieces of texts that wait for a query.
 HELD = 4_000_000
 
@@ -75,10 +75,14 @@ class Merges:
         self.pattern = regex.compile(pattern)
         self.by_rank = {r: t for t, r in self.ranks.items()}
         self.octets = np.array([self.ranks[bytes([k])] for k in range(256)], np.int32)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        pairs = [(self.ranks[t[:k]], self.ranks[t[k:]], r) for t, r in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
-        l, r, m = (pa.array(x, pa.int32()) for x in zip(*pairs))
-        ranked = pa.table({"l": l, "r": r, "m": m})  # noqa: F841  read by name
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        pairs = [array("i") for _ in "lrm"]
+        for token, rank in self.ranks.items():
+            for k in range(1, len(token)):
+                if (left := self.ranks.get(token[:k])) is not None and (right := self.ranks.get(token[k:])) is not None:
+                    for column, value in zip(pairs, (left, right, rank)):
+                        column.append(value)
+        ranked = pa.table(dict(zip("lrm", (pa.array(np.array(x)) for x in pairs))))  # noqa: F841  read by name
         tokens = pa.table({"t": pa.array(self.ranks.values(), pa.int32()), "x": pa.array([t.hex() for t in self.ranks])})  # noqa: F841
         self.con.execute("CREATE TABLE merges AS SELECT * FROM ranked")
         self.con.execute("CREATE TABLE tokens AS SELECT * FROM tokens")
@@ -206,7 +210,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, *, key: str = "doc_id", te
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names)
 
-    return rows.mapInArrow(run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * full)
+    return rows.mapInArrow(tidy(run), f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * full)
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

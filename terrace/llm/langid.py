@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terrace.llm._store import small_batches, worker_own
+from terrace.llm._store import small_batches, tidy, worker_own
 
 #: Longest context in bytes.
 ORDER = 4
@@ -172,7 +172,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
         return ContextTrees([])
     share = F.create_map(*[F.lit(x) for s, n in sizes.items() for x in (s, min(1.0, SAMPLE_DOCS / n))])
     chosen = rows.where((F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(1_000_003)) / 1_000_003.0) < share[F.col("lang")])
-    words = chosen.select("text", "lang").mapInArrow(_counts, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    words = chosen.select("text", "lang").mapInArrow(tidy(_counts), "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     ranked = words.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word")))
     kept = ranked.where(F.col("r") <= SAMPLE_WORDS // len(sizes)).drop("r").collect()
     return ContextTrees([(r[0], bytes(r[1]), int(r[2])) for r in kept])
@@ -202,7 +202,7 @@ def identify(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFr
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())], [*names, "lang_pred", "score", "lang_bits"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double, lang_bits double")
+    return docs.mapInArrow(tidy(run), f"{schema}, lang_pred string, score double, lang_bits double")
 
 
 def held_out(key: str, parts: int, part: int):

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm._store import Scratch, small_batches, worker_own
+from terrace.llm._store import Scratch, small_batches, tidy, worker_own
 from terrace.llm.graph import components
 
 #: Shingle hashes that are unpacked to bits at a time.
@@ -313,7 +313,7 @@ def _verified(pairs: DataFrame, marked: DataFrame, first: DataFrame, key: str, t
     sets = scratch.save(sets, tag)
     left = pairs.join(sets.withColumnRenamed("set", "x"), (F.col("a1") == F.col("s1")) & (F.col("a2") == F.col("s2"))).drop("s1", "s2")
     both = left.join(sets.withColumnRenamed("set", "y"), (F.col("b1") == F.col("s1")) & (F.col("b2") == F.col("s2"))).select("a1", "a2", "b1", "b2", "x", "y")
-    return both.mapInArrow(_similar(similarity), "a1 long, a2 long, b1 long, b2 long")
+    return both.mapInArrow(tidy(_similar(similarity)), "a1 long, a2 long, b1 long, b2 long")
 
 
 def _rooted(links: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
@@ -337,12 +337,12 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *
     marked = docs.withColumn("__h1", F.xxhash64(F.coalesce(text, F.lit("")))).withColumn("__h2", F.xxhash64(F.lit("second"), F.coalesce(text, F.lit(""))))
     plain = marked.select("__h1", "__h2", F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = plain.schema["id"].dataType.simpleString()
-    rows = scratch.save(plain.mapInArrow(_near_sketches(shingle), f"h1 long, h2 long, id {kind}, bands array<long>, sketch binary"), "sketches")
+    rows = scratch.save(plain.mapInArrow(tidy(_near_sketches(shingle)), f"h1 long, h2 long, id {kind}, bands array<long>, sketch binary"), "sketches")
     texts = rows.groupBy("h1", "h2").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     postings = texts.select(F.explode("bands").alias("band"), F.struct("h1", "h2", "sketch").alias("m")).groupBy("band").agg(F.collect_list("m").alias("m")).where("size(m) > 1").select("m")
     postings = scratch.save(postings, "postings")  # only texts that share one
     bounds, schema, pair = _bounds(similarity, 64 * LANES), "sure boolean, a1 long, a2 long, b1 long, b2 long", ["a1", "a2", "b1", "b2"]
-    found = scratch.save(postings.mapInArrow(_posting_links(*bounds, True), schema).distinct(), "pairs")
+    found = scratch.save(postings.mapInArrow(tidy(_posting_links(*bounds, True)), schema).distinct(), "pairs")
     first = rows.groupBy("h1", "h2").agg(F.min("id").alias("id"))
     verify = lambda pairs, tag: _verified(pairs, marked, first, key, text, shingle, similarity, scratch, tag)
     linked = found.where("sure").select(*pair).unionByName(verify(found.where("not sure").select(*pair), "sets"))
@@ -351,7 +351,7 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *
     large = postings.where(F.size("m") > SMALL).select(F.monotonically_increasing_id().alias("p"), F.explode("m").alias("m")).select("p", "m.*")
     placed = large.join(joined, (large.h1 == joined.n1) & (large.h2 == joined.n2), "left")
     member = F.struct("h1", "h2", "sketch", F.coalesce("root.h1", "h1").alias("r1"), F.coalesce("root.h2", "h2").alias("r2"))
-    again = placed.groupBy("p").agg(F.collect_list(member).alias("m")).select("m").mapInArrow(_posting_links(*bounds, False), schema).select(*pair).distinct()
+    again = placed.groupBy("p").agg(F.collect_list(member).alias("m")).select("m").mapInArrow(tidy(_posting_links(*bounds, False)), schema).select(*pair).distinct()
     rest = scratch.save(again.join(found.where("not sure"), pair, "left_anti"), "rest")
     roots = joined
     if not rest.isEmpty():

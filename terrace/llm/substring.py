@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from terrace.llm._store import Scratch, release_shuffles, small_batches, worker_own
+from terrace.llm._store import Scratch, hand_back, release_shuffles, small_batches, tidy, worker_own
 
 #: Words of a window, and of the short and the middle prefix.
 WINDOW, SHORT, MIDDLE = 20, 1, 3
@@ -227,6 +227,7 @@ def _subtree(buckets: int):
         cuts = np.append(_runs(bucket), len(bucket)) if len(bucket) else np.zeros(1, int)
         rows = [(int(bucket[lo]), *_packed(ids[lo:hi], start[lo:hi])) for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
         cols = list(zip(*rows)) if rows else [[]] * 4
+        hand_back()
         return pa.table([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "ids", "sizes", "starts"])
 
     return run
@@ -269,6 +270,7 @@ def _apply(schema: pa.Schema, key: int, text: int, joined: bool):
                 n_removed.append(int(gone.sum()))
                 turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
                 spans.append(turns.tolist())
+        hand_back()
         cols = [docs.column(k) for k in range(docs.num_columns - 1)]
         cols[text] = pa.chunked_array([pa.array(out, pa.binary()).cast(pa.string())])
         return pa.table([*cols, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, pa.list_(pa.int32()))], schema=schema)
@@ -288,10 +290,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     plain = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     counts = np.zeros(SHORT_TABLE + MIDDLE_TABLE, np.int64)
-    for at, n in plain.mapInArrow(_count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # as many rows as the tables have entries
+    for at, n in plain.mapInArrow(tidy(_count), "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # as many rows as the tables have entries
         counts[at] = n
     groups, buckets = Groups(counts), int(max(MIN_GROUPS, -(-size // BUCKET_BYTES)))
-    records = plain.mapInArrow(_records(groups), "group int, " + ", ".join(f"{n} binary" for n in RECORD))
+    records = plain.mapInArrow(tidy(_records(groups)), "group int, " + ", ".join(f"{n} binary" for n in RECORD))
     found = records.repartition(max(MIN_GROUPS, groups.count), "group").groupBy("group").applyInArrow(_subtree(buckets), "bucket int, ids binary, sizes binary, starts binary")
     covered = scratch.save(found, "covered")
     del records, found
