@@ -13,6 +13,7 @@ a shingle's give one shingle of them all; repeated rows share their fingerprint
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -134,17 +135,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     return fps.join(named, fps.fp == named["__fp"]).select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Near copies by similarity: 64-bit lanes of the shingle sketch, bands of three positional bytes of the word sketch.
-LANES, BANDS = 8, 24
-#: Words from this many bytes on make the word sketch, unless a text has fewer different ones than FEW.
-LONG_WORD, FEW = 6, 10
-#: Standard deviations of a pair's differing bits, from their mean at the similarity asked for: pairs that differ in fewer
-#: bits than the one below are surely as similar, those with more than the one above surely not; all others are compared exactly.
-SURE = 2.6
-#: Members up to which all open pairs of a posting are compared at once; of larger ones, each text's nearest first.
-SMALL, NEAREST = 24, 3
+#: Postings of near copies up to this size give all their pairs at once; larger ones those with so many members first.
+SMALL, HUBS = 24, 3
+#: Texts that are asked which shingles are common, in how many of them one is, and how many such shingles are kept.
+ASKED, COMMON, MOST_COMMON = 4000, 4, 200_000
+#: Entries that a task collects before it hands them on, and blocks of them by partition.
+ENTRIES, BLOCKS = 400_000, 4
+#: Bits of a set's parities.
+PARITIES = 512
 #: Words of the fixed bitmap that keeps texts without an open pair from being shuffled.
 BITMAP = 1 << 16
+#: What is sent of a shingle in the prefix of a text: its hash, the text, the size of the text's set and the place in its order.
+_ENTRY = np.dtype([("token", np.uint64), ("h1", np.int64), ("h2", np.int64), ("size", np.uint32), ("at", np.uint32)])
 _LOW = np.uint64(0x0101010101010101)
 
 
@@ -179,77 +181,158 @@ def sketch(h: np.ndarray, n: int) -> np.ndarray:
     return np.packbits((2 * ones > len(h)).reshape(n * 8, 8), axis=1).reshape(-1)
 
 
-def _near_sketches(shingle: int):
+def _common(docs: DataFrame, text: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are in many texts of a sample, ascending, and in how many. They only order the shingles of a text."""
+    share = ASKED / max(1, docs.count())
+    asked = docs.where(F.pmod(F.col("__h1"), F.lit(1_000_003)) < F.lit(int(min(1.0, share) * 1_000_003) + 1)).select("__h1", "__h2", text)
+    tokens = asked.mapInArrow(tidy(_shingle_rows(shingle)), "token long").groupBy("token").count().where(F.col("count") >= COMMON)
+    held = tokens.orderBy(F.desc("count"), "token").limit(MOST_COMMON).collect()
+    found = np.array([r[0] for r in held], np.int64).view(np.uint64)
+    order = np.argsort(found)
+    return found[order], np.array([r[1] for r in held], np.int64)[order]
+
+
+def _shingle_rows(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bands, sketches, hashes = [], [], worker_own("near copies", _Hashes)
-            for text in b.column(b.num_columns - 1).cast(pa.binary()).to_pylist():
-                words = (text or b"").lower().split()
-                h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-                chosen = np.unique(h[np.fromiter(map(len, words), np.int64, len(words)) >= LONG_WORD])
-                if len(chosen) < FEW:
-                    chosen = np.unique(h)
-                octets = sketch(chosen, BANDS * 3 // 8).reshape(BANDS, 3).astype(np.int64)
-                bands.append(octets[:, 0] | octets[:, 1] << 8 | octets[:, 2] << 16 | np.arange(BANDS) << 24)
-                sketches.append(sketch(_shingle_set(text or b"", shingle), LANES).tobytes())
-            flat = pa.ListArray.from_arrays(np.arange(0, len(bands) * BANDS + 1, BANDS, dtype=np.int32), pa.array(np.concatenate(bands) if bands else [], pa.int64()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], flat, pa.array(sketches, pa.binary())], ["h1", "h2", "id", "bands", "sketch"])
+            for t in b.column(2).cast(pa.binary()).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(_shingle_set(t or b"", shingle).view(np.int64))], ["token"])
 
     return run
 
 
-def _bounds(similarity: float, bits: int) -> tuple[int, int]:
-    """Differing bits up to which two texts are surely of this Jaccard similarity, and from which surely not."""
-    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    spread = SURE * np.sqrt(bits * p * (1 - p))
-    return int(bits * p - spread), int(bits * p + spread)
+def _prefix(tokens: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first shingles of a set, rare ones first: two sets of this Jaccard similarity share one of them at least."""
+    n = len(tokens) - math.ceil(similarity * len(tokens) - 1e-9) + 1
+    known, counts = common
+    if not len(known):
+        return tokens[:n]
+    at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+    return tokens[np.argsort(np.where(known[at] == tokens, counts[at], 0), kind="stable")[:n]]
+
+
+def _prefixes(shingle: int, similarity: float, common, blocks: int):
+    """Entries of all texts' prefixes, in blocks by shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, texts, n = [], set(), 0
+
+        def blocked():
+            entries = np.concatenate(held) if held else np.zeros(0, _ENTRY)
+            block = (entries["token"] % np.uint64(blocks)).astype(np.int32)
+            order = np.argsort(block, kind="stable")
+            entries, block = entries[order], block[order]
+            starts = np.flatnonzero(np.diff(block, prepend=-1))
+            parts = [x.tobytes() for x in np.split(entries, starts[1:])] if len(starts) else []
+            return pa.RecordBatch.from_arrays([pa.array(block[starts], pa.int32()), pa.array(parts, pa.binary())], ["block", "entries"])
+
+        for b in batches:
+            for h1, h2, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist()):
+                if (h1, h2) in texts:
+                    continue
+                texts.add((h1, h2))
+                tokens = _shingle_set(text or b"", shingle)
+                first = _prefix(tokens, common.value, similarity)
+                rows = np.empty(len(first), _ENTRY)
+                rows["token"], rows["h1"], rows["h2"], rows["size"], rows["at"] = first, h1, h2, len(tokens), np.arange(len(first))
+                held.append(rows)
+                n += len(rows)
+                if n >= ENTRIES:
+                    yield blocked()
+                    held, texts, n = [], set(), 0
+        yield blocked()
+
+    return run
 
 
-def _posting_links(sure: int, most: int, first: bool):
-    """Links of each posting: ``sure`` ones, and the open pairs that are to be compared exactly.
+def _possible(x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether two texts can be as similar if the shingle of these entries is the first that they share.
 
-    The first time, texts that sure links join come out with the smallest of them, and open pairs between such groups: all of a
-    small posting's, but of a large one each text's nearest and those with the texts nearest to all. The second time,
-    for large postings only, members carry the group that they belong to by then, and all open pairs between groups come out.
-    Pairs are compared row by row and never held.
+    No similar pair is lost: it is let through at the first shingle that it shares, whatever is said at others.
     """
+    sx, sy = x["size"].astype(np.int64), y["size"].astype(np.int64)
+    shared = np.minimum(sx - x["at"], sy - y["at"])
+    return shared >= similarity * (sx + sy - shared) - 1e-9
+
+
+def _first_pairs(similarity: float):
+    """Pairs of texts that meet in a posting, ``large`` false: all of a small one, of a large one those with a few members.
+
+    Members of large postings come out as well, ``large`` true: text, shingle, and size and place in one number.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = [x for b in batches for x in b.column(1).to_pylist()]
+        entries = np.frombuffer(b"".join(blobs), _ENTRY)
+        del blobs
+        entries = entries[np.lexsort([entries["h2"], entries["h1"], entries["token"]])]
+        same = np.ones(len(entries), bool)
+        for f in ("token", "h1", "h2"):
+            same[1:] &= entries[f][1:] == entries[f][:-1]
+        if len(entries):
+            same[0] = False
+        entries = entries[~same]  # a text once in each posting
+        starts = np.flatnonzero(np.diff(entries["token"], prepend=~entries["token"][:1])) if len(entries) else np.zeros(0, np.int64)
+        sizes = np.diff(starts, append=len(entries))
+        of = np.repeat(sizes, sizes)
+        small = entries[(of > 1) & (of <= SMALL)]
+        pairs = []
+
+        def add(x, y):
+            ok = _possible(x, y, similarity)
+            pairs.append(np.column_stack([x["h1"][ok], x["h2"][ok], y["h1"][ok], y["h2"][ok]]))
+
+        for d in range(1, SMALL):
+            i = np.flatnonzero(small["token"][:-d] == small["token"][d:])
+            add(small[i], small[i + d])
+        for lo, n in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
+            members = entries[lo : lo + n]
+            turn = np.argsort(members["h1"].view(np.uint64) * np.uint64(2 * lo + 1) ^ members["token"])[: HUBS - 1]
+            for hub in np.union1d([0], turn).tolist():
+                x = np.repeat(members[hub : hub + 1], n)
+                after = np.arange(n) > hub
+                add(members[~after][:-1], x[~after][:-1])
+                add(x[after], members[after])
+        found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 4), np.int64)
+        for lo in range(0, len(found), 65_536):
+            part = found[lo : lo + 65_536]
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(part), bool)), *(pa.array(np.ascontiguousarray(part[:, k])) for k in range(4))], ["large", "a1", "a2", "b1", "b2"])
+        rest = entries[of > SMALL]
+        for lo in range(0, len(rest), 65_536):
+            part = rest[lo : lo + 65_536]
+            cols = [part["h1"], part["h2"], part["token"].view(np.int64), part["size"].astype(np.int64) << 32 | part["at"].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(part), bool)), *(pa.array(np.ascontiguousarray(c)) for c in cols)], ["large", "a1", "a2", "b1", "b2"])
+
+    return run
+
+
+def _other_pairs(similarity: float):
+    """All pairs of a large posting whose texts are in different groups by now, row by row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
+            pairs = []
             for members in b.column(0):
                 rows = members.values
-                h1, h2 = rows.field(0).to_numpy(), rows.field(1).to_numpy()
+                h1, h2, packed, r1, r2 = (rows.field(k).to_numpy() for k in (0, 1, 2, 4, 5))
+                parities = np.frombuffer(b"".join(rows.field(3).to_pylist()), np.uint64).reshape(-1, PARITIES // 64)
+                m = np.empty(len(rows), _ENTRY)
+                m["h1"], m["h2"], m["size"], m["at"] = h1, h2, packed >> 32, packed & 0xFFFFFFFF
                 order = np.lexsort([h2, h1])
-                h1, h2 = h1[order], h2[order]
-                words = np.frombuffer(b"".join(rows.field(2).to_pylist()), np.uint64).reshape(-1, LANES)[order]
-                differing = lambda i, words=words: np.bitwise_count(words ^ words[i]).sum(axis=1, dtype=np.int64)
-                n = len(words)
-                sums = np.zeros(n, np.int64)
-                if first:
-                    root = np.arange(n)  # the smallest member that each is linked with
-                    for i in range(n):
-                        differ = differing(i)
-                        sums[i] = differ.sum()
-                        near = np.flatnonzero((differ <= sure) & (root != root[i]))
-                        if len(near):
-                            met = np.unique(np.append(root[near], root[i]))
-                            root[np.isin(root, met)] = met[0]
-                    out += [(True, h1[i], h2[i], h1[j], h2[j]) for j, i in enumerate(root.tolist()) if i != j]
-                else:
-                    root = np.unique(np.column_stack([rows.field(3).to_numpy(), rows.field(4).to_numpy()])[order], axis=0, return_inverse=True)[1].reshape(-1)
-                hubs = np.argsort(sums, kind="stable")[:NEAREST]
-                for i in range(n):
-                    differ = differing(i)
-                    open_ = np.flatnonzero((differ > sure) & (differ <= most) & (root != root[i]))
-                    if first and n > SMALL and len(open_):
-                        nearest = open_[np.argsort(differ[open_], kind="stable")[:NEAREST]]
-                        open_ = np.union1d(nearest, np.intersect1d(open_, hubs))
-                        out += [(False, h1[x], h2[x], h1[y], h2[y]) for x, y in zip(np.minimum(open_, i).tolist(), np.maximum(open_, i).tolist())]
-                    else:
-                        out += [(False, h1[i], h2[i], h1[j], h2[j]) for j in open_[open_ > i].tolist()]
-            cols = list(zip(*out)) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.bool_()), *(pa.array(c, pa.int64()) for c in cols[1:])], ["sure", "a1", "a2", "b1", "b2"])
+                m, parities = m[order], parities[order]
+                root, sizes = np.unique(np.column_stack([r1, r2])[order], axis=0, return_inverse=True, return_counts=True)[1:]
+                root = root.reshape(-1)
+                most = int(sizes.argmax())
+                for i in np.flatnonzero(root != most).tolist():
+                    j = np.flatnonzero((root != root[i]) & ((root == most) | (np.arange(len(m)) > i)))
+                    j = j[_possible(np.repeat(m[i : i + 1], len(j)), m[j], similarity)]
+                    differ = np.bitwise_count(parities[j] ^ parities[i]).sum(axis=1, dtype=np.int64)  # of both sets together, at least
+                    both = m["size"][j].astype(np.int64) + int(m["size"][i])
+                    j = j[(both - differ) >= similarity * (both + differ) - 1e-9]
+                    x, y = m[np.minimum(i, j)], m[np.maximum(i, j)]
+                    pairs.append(np.column_stack([x["h1"], x["h2"], y["h1"], y["h2"]]))
+            found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 4), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, k])) for k in range(4)], ["a1", "a2", "b1", "b2"])
 
     return run
 
@@ -266,11 +349,16 @@ def _shingle_set(text: bytes, shingle: int) -> np.ndarray:
     return np.unique(chain)
 
 
+def _parities(tokens: np.ndarray) -> bytes:
+    """Parity of the number of hashes in each of ``PARITIES`` classes: two sets differ in as many hashes as bits, at least."""
+    return np.packbits(np.bincount((tokens >> np.uint64(20) & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1).tobytes()
+
+
 def _shingle_sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [_shingle_set(t or b"", shingle).tobytes() for t in b.column(2).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.binary())], ["s1", "s2", "set"])
+            sets = [_shingle_set(t or b"", shingle) for t in b.column(2).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array(map(_parities, sets), pa.binary())], ["s1", "s2", "set", "parities"])
 
     return run
 
@@ -288,12 +376,11 @@ def _similar(similarity: float):
     return run
 
 
-def _verified(pairs: DataFrame, marked: DataFrame, first: DataFrame, key: str, text: str, shingle: int, similarity: float, scratch: Scratch, tag: str) -> DataFrame:
-    """Those of the open pairs whose sets of shingles are as similar as asked for.
+def _sets(sides: DataFrame, marked: DataFrame, first: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """Set of shingles, and its parities, of the different texts ``s1, s2``.
 
-    Only texts with an open pair are shuffled, one row of each: a bitmap of fixed size holds back the others.
+    Only these texts are shuffled, one row of each: a bitmap of fixed size holds back the others.
     """
-    sides = pairs.select(F.col("a1").alias("s1"), F.col("a2").alias("s2")).unionByName(pairs.select(F.col("b1").alias("s1"), F.col("b2").alias("s2"))).distinct()
     slot = F.pmod(F.col("s1"), F.lit(64 * BITMAP))
     held = sides.groupBy(F.shiftright(slot, 6).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(s1, {64 * BITMAP}) & 63 as int))")).alias("bits"))
     bitmap = np.zeros(BITMAP, np.int64)
@@ -309,8 +396,13 @@ def _verified(pairs: DataFrame, marked: DataFrame, first: DataFrame, key: str, t
     ids = first.join(sides, (first.h1 == sides.s1) & (first.h2 == sides.s2), "left_semi").select("h1", "h2", F.col("id").alias("__id"))
     some = marked.select("__h1", "__h2", F.col(key).alias("__own"), F.col(text).alias("__text")).where(maybe("__h1"))
     one = some.join(ids, (F.col("__h1") == F.col("h1")) & (F.col("__h2") == F.col("h2")) & F.col("__own").eqNullSafe(F.col("__id")))
-    sets = one.select("h1", "h2", "__text").mapInArrow(_shingle_sets(shingle), "s1 long, s2 long, set binary").dropDuplicates(["s1", "s2"])
-    sets = scratch.save(sets, tag)
+    return one.select("h1", "h2", "__text").mapInArrow(tidy(_shingle_sets(shingle)), "s1 long, s2 long, set binary, parities binary").dropDuplicates(["s1", "s2"])
+
+
+def _verified(pairs: DataFrame, sets_of, similarity: float, scratch: Scratch, tag: str) -> DataFrame:
+    """Those of the open pairs whose sets of shingles are as similar as asked for."""
+    sides = pairs.select(F.col("a1").alias("s1"), F.col("a2").alias("s2")).unionByName(pairs.select(F.col("b1").alias("s1"), F.col("b2").alias("s2"))).distinct()
+    sets = scratch.save(sets_of(sides).drop("parities"), tag)
     left = pairs.join(sets.withColumnRenamed("set", "x"), (F.col("a1") == F.col("s1")) & (F.col("a2") == F.col("s2"))).drop("s1", "s2")
     both = left.join(sets.withColumnRenamed("set", "y"), (F.col("b1") == F.col("s1")) & (F.col("b2") == F.col("s2"))).select("a1", "a2", "b1", "b2", "x", "y")
     return both.mapInArrow(tidy(_similar(similarity)), "a1 long, a2 long, b1 long, b2 long")
@@ -325,34 +417,34 @@ def _rooted(links: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one document of each group of near copies: the one of smallest ``key`` (null last).
 
-    Exact copies are folded first. Each different text has a 512-bit SimHash of its set of word shingles, and a SimHash of its
-    long words whose positional bytes, three by three, are the postings of the index. For texts that meet in a posting the
-    differing bits of their shingle sketches are counted: few enough, and they are linked; too many, and they are not; between
-    the two, their sets of shingles are compared. Of sure links a posting hands on the groups that they make, and open pairs
-    only between such groups. Rows that repeat key and text count as one document; a null text is an empty one.
+    Exact copies are folded. The shingles of each different text are ordered, those common in a sample last; two texts as similar
+    as asked for share one of their first shingles, so the postings of these hold every such pair. Sizes and places in the order
+    rule out pairs that cannot be; the sets of all others are compared exactly. Large postings go in two rounds: pairs with a few
+    of the members first, then all that are still in different groups. Rows that repeat key and text count as one document; a
+    null text is an empty one.
     """
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "copies")
     marked = docs.withColumn("__h1", F.xxhash64(F.coalesce(text, F.lit("")))).withColumn("__h2", F.xxhash64(F.lit("second"), F.coalesce(text, F.lit(""))))
-    plain = marked.select("__h1", "__h2", F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = plain.schema["id"].dataType.simpleString()
-    rows = scratch.save(plain.mapInArrow(tidy(_near_sketches(shingle)), f"h1 long, h2 long, id {kind}, bands array<long>, sketch binary"), "sketches")
-    texts = rows.groupBy("h1", "h2").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    postings = texts.select(F.explode("bands").alias("band"), F.struct("h1", "h2", "sketch").alias("m")).groupBy("band").agg(F.collect_list("m").alias("m")).where("size(m) > 1").select("m")
-    postings = scratch.save(postings, "postings")  # only texts that share one
-    bounds, schema, pair = _bounds(similarity, 64 * LANES), "sure boolean, a1 long, a2 long, b1 long, b2 long", ["a1", "a2", "b1", "b2"]
-    found = scratch.save(postings.mapInArrow(tidy(_posting_links(*bounds, True)), schema).distinct(), "pairs")
-    first = rows.groupBy("h1", "h2").agg(F.min("id").alias("id"))
-    verify = lambda pairs, tag: _verified(pairs, marked, first, key, text, shingle, similarity, scratch, tag)
-    linked = found.where("sure").select(*pair).unionByName(verify(found.where("not sure").select(*pair), "sets"))
-    joined = _rooted(linked, scratch, "links")
+    first = scratch.save(marked.select(F.col("__h1").alias("h1"), F.col("__h2").alias("h2"), F.col(key).alias("id")).groupBy("h1", "h2").agg(F.min("id").alias("id")), "first")
+    common = spark.sparkContext.broadcast(_common(marked, text, shingle))  # MOST_COMMON at most
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    entries = marked.select("__h1", "__h2", text).mapInArrow(tidy(_prefixes(shingle, similarity, common, BLOCKS * parts)), "block int, entries binary")
+    found = entries.repartition(parts, "block").mapInArrow(tidy(_first_pairs(similarity)), "large boolean, a1 long, a2 long, b1 long, b2 long")
+    found, pair = scratch.save(found, "pairs"), ["a1", "a2", "b1", "b2"]
+    sets_of = lambda sides: _sets(sides, marked, first, key, text, shingle)
+    verify = lambda pairs, tag: _verified(pairs, sets_of, similarity, scratch, tag)
+    tried = scratch.save(found.where("not large").select(*pair).distinct(), "tried")
+    joined = _rooted(scratch.save(verify(tried, "sets"), "similar"), scratch, "links")
     # Large postings once more: what is still apart there is compared wholly.
-    large = postings.where(F.size("m") > SMALL).select(F.monotonically_increasing_id().alias("p"), F.explode("m").alias("m")).select("p", "m.*")
-    placed = large.join(joined, (large.h1 == joined.n1) & (large.h2 == joined.n2), "left")
-    member = F.struct("h1", "h2", "sketch", F.coalesce("root.h1", "h1").alias("r1"), F.coalesce("root.h2", "h2").alias("r2"))
-    again = placed.groupBy("p").agg(F.collect_list(member).alias("m")).select("m").mapInArrow(tidy(_posting_links(*bounds, False)), schema).select(*pair).distinct()
-    rest = scratch.save(again.join(found.where("not sure"), pair, "left_anti"), "rest")
+    large = found.where("large").select(F.col("a1").alias("h1"), F.col("a2").alias("h2"), F.col("b1").alias("token"), F.col("b2").alias("place"))
+    members = scratch.save(sets_of(large.select(F.col("h1").alias("s1"), F.col("h2").alias("s2")).distinct()).drop("set"), "members")
+    known = members.join(joined, (members.s1 == joined.n1) & (members.s2 == joined.n2), "left").drop("n1", "n2")
+    placed = large.join(known, (large.h1 == known.s1) & (large.h2 == known.s2))
+    member = F.struct("h1", "h2", "place", "parities", F.coalesce("root.h1", "h1").alias("r1"), F.coalesce("root.h2", "h2").alias("r2"))
+    again = placed.groupBy("token").agg(F.collect_list(member).alias("m")).select("m").mapInArrow(tidy(_other_pairs(similarity)), "a1 long, a2 long, b1 long, b2 long").distinct()
+    rest = scratch.save(again.join(tried, pair, "left_anti"), "rest")
     roots = joined
     if not rest.isEmpty():
         stars = joined.select(F.col("root.h1").alias("a1"), F.col("root.h2").alias("a2"), F.col("n1").alias("b1"), F.col("n2").alias("b2"))

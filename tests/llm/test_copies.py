@@ -101,3 +101,40 @@ def test_near_copies_by_similarity(spark):
     twice = simhash.drop_near_copies(frame.unionByName(frame))
     assert {r.doc_id for r in twice.collect()} == got and twice.count() == len(got)
     assert simhash.drop_near_copies(frame.limit(0)).count() == 0
+
+
+def kept_of(spark, texts):
+    return {r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)).collect()}
+
+
+def wanted(texts):
+    sets = []
+    for t in texts:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)})
+    return set(groups(len(texts), [(i, j) for i in range(len(texts)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]))
+
+
+def test_near_copies_by_blocks(spark):
+    rng = random.Random(12)
+    words = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9))) for _ in range(n)]
+    texts = []
+    for k in range(80):
+        base = words(204)  # 200 shingles
+        b = [base + words(50), base + words(51), words(50) + base, base[:-22] + words(22), base + words(22), base[:164], base[:163]][k % 7]
+        texts += [" ".join(base), " ".join(b)]  # at 0.8, just below, and above
+    want = wanted(texts)
+    assert 80 < len(want) < 120 and kept_of(spark, texts) == want
+
+
+def test_large_postings_of_copies_lose_no_pair(spark):
+    rng = random.Random(4)
+    base, texts = [f"w{i}" for i in range(60)], []
+    for _ in range(150):
+        w = list(base)
+        for i in rng.sample(range(60), rng.randint(0, 4)):
+            w[i] = f"x{rng.randrange(200)}"
+        texts.append(" ".join(w))
+    for k in range(40):  # one passage in all, alike or not by what follows
+        texts += [" ".join([f"p{i}" for i in range(30)] + [f"q{k}x{i}" for i in range(n)]) for n in (60, 66)]
+    assert kept_of(spark, texts) == wanted(texts)
