@@ -127,6 +127,14 @@ def test_near_copies_by_blocks(spark):
     assert 80 < len(want) < 120 and kept_of(spark, texts) == want
 
 
+def test_near_copies_on_either_side_of_ten_long_words(spark):
+    texts = []
+    for k in range(40):
+        short = [f"{x}{k}" for x in ("a", "of", "to", "in", "it", "on", "at", "by", "we", "us", "or", "so", "if", "as", "no", "up", "my", "he", "be", "do")]
+        texts += [" ".join(short + [f"longer{k}x{i}" for i in range(n)]) for n in (9, 10)]
+    assert kept_of(spark, texts) == wanted(texts) == set(range(0, 80, 2))
+
+
 def test_large_postings_of_copies_lose_no_pair(spark):
     rng = random.Random(4)
     base, texts = [f"w{i}" for i in range(60)], []
