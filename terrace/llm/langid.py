@@ -5,8 +5,8 @@ its exact code length under each tree: a byte costs -log2 of its probability in
 context; a context that has not seen the byte is left at the price of its escape probability (method C: distinct
 symbols over total plus distinct symbols, without exclusions), down to a uniform order. Contexts do not
 reach across white space and letters are lower-cased, so a text's length is the sum of its words' lengths,
-each closed by one separator, and equal words are scored once. Words with digits, ``@`` or ``=`` (numbers,
-addresses, keys) belong to no language and cost nothing.
+each closed by one separator, and equal words are scored once. Digits, ``@`` and ``=`` belong to no language: they part
+words as white space does, and the letters around them are scored. A text with a letter has scored bytes.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter, and for every text if there was
 nothing to learn from; ties go to the language that is first in code point order; repeated rows score alike.
@@ -113,13 +113,12 @@ class Scorer:
             rows = bits[np.array(index)]
             start = len(self.word_at)
             self.word_at.update(zip(new, range(start, start + len(new))))
-            counted = np.array([0 if _NOT_WORDS.search(w) else len(w) + 1 for w in new])
-            costs = np.add.reduceat(rows, ends, axis=0) * (counted > 0)[:, None]
-            self.word_bits = np.concatenate([self.word_bits, np.column_stack([costs, counted])])
+            counted = np.array([len(w) + 1 for w in new])
+            self.word_bits = np.concatenate([self.word_bits, np.column_stack([np.add.reduceat(rows, ends, axis=0), counted])])
 
     def lengths(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Bits by text and language, and the bytes that were coded (with a separator for each word)."""
-        split = [t.split() for t in texts]
+        split = [words_of(t) for t in texts]
         out, at = np.zeros((len(texts), len(self.trees.langs) + 1)), 0
         while at < len(split):
             upto, words = at, set()
@@ -137,8 +136,12 @@ class Scorer:
         return out[:, :-1], out[:, -1]
 
 
-#: Words with such characters belong to no language.
-_NOT_WORDS = re.compile(rb"[0-9@=]")
+#: Characters of no language, as spaces.
+_PARTING = bytes.maketrans(b"0123456789@=", b" " * 12)
+
+
+def words_of(text: bytes) -> list[bytes]:
+    return text.translate(_PARTING).split()
 
 
 def _has_letter(text: str) -> bool:
@@ -150,7 +153,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         found: dict[str, Counter] = {}
         for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            found.setdefault(lang, Counter()).update(w for w in (text or "").lower().encode().split() if not _NOT_WORDS.search(w))
+            found.setdefault(lang, Counter()).update(words_of((text or "").lower().encode()))
         rows = [(lang, w[:256], n) for lang, c in found.items() for w, n in c.items()]
         if rows:
             cols = list(zip(*rows))

@@ -92,3 +92,15 @@ def test_quality_of_odd_rows(spark):
     assert len(got) == 5 and len({r.score for r in got if r.id == 4}) == 1 and all(0 <= r.score <= 1 for r in got)
     assert {r.score for r in quality.score(rows, quality.learn(docs, labels.limit(0))).collect()} == {0.5}
     assert quality.score(rows.limit(0), machine).count() == 0
+
+
+def test_letters_beside_digits_are_scored(spark):
+    trees = langid.learn(docs_of(spark))
+    chinese = "他出生于一个小村庄后来搬到了城里"
+    texts = [chinese, chinese[:8] + "1948" + chinese[8:], "中文" * 40 + "=" + "日本" * 40, "the people of the city and the country", "the9people1of2the3city4and=the@country"]
+    got = {r.id: r for r in langid.identify(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), trees).collect()}
+    assert all(got[i].lang_bits > 0 and got[i].score > 1 / len(trees.langs) for i in got)
+    assert abs(got[1].lang_bits - got[0].lang_bits) < 0.25 * got[0].lang_bits
+    assert got[4].lang_pred == got[3].lang_pred and math.isclose(got[4].lang_bits, got[3].lang_bits)
+    plain, parted = langid.Scorer(trees).lengths([b"12 3@4 56=", b"the 1948 city"])[1].tolist()
+    assert (plain, parted) == (0, 9)
