@@ -135,6 +135,14 @@ def test_near_copies_on_either_side_of_ten_long_words(spark):
     assert kept_of(spark, texts) == wanted(texts) == set(range(0, 80, 2))
 
 
+def test_pairs_of_few_shingles_are_compared_exactly(spark):
+    texts = []
+    for k in range(150):
+        w = [f"w{k}x{i}" for i in range(40)]
+        texts += [" ".join(w[:n]) for n in [(8, 9), (16, 19), (24, 29), (7, 8), (15, 19)][k % 5]]  # the last two are below 0.8
+    assert kept_of(spark, texts) == wanted(texts)
+
+
 def test_large_postings_of_copies_lose_no_pair(spark):
     rng = random.Random(4)
     base, texts = [f"w{i}" for i in range(60)], []
