@@ -3,12 +3,16 @@
 Texts are split by the tokenizer's pattern. Of a batch's distinct pieces, those that are tokens themselves are
 taken as they are; the others become token-position rows of a recursive query that joins them to the merge
 table and contracts each piece's leftmost pair of minimum rank, step by step, until no pair of a piece is in the
-table. Ordered aggregations give the ids and, by the ids' bytes, the decoded piece.
+table. An ordered aggregation gives the ids and, by the ids' bytes, the decoded piece.
 
-A step contracts one pair of each piece, so a piece of n bytes takes up to n steps over up to n rows. Pieces of
-over ``LONG`` bytes are therefore contracted by the same rule along a linked list and a heap.
+A step also contracts the pairs whose turn is sure to come: those of lower rank than anything that their left token could
+join with after the byte before it, or their right token before the byte behind it (``lefts`` and ``rights`` hold these least
+ranks by token and byte). As a pair's result only joins at higher ranks, the ids are those of one pair at a time; it takes a few
+steps for most pieces of any length. A query takes pieces by their bytes; one that outgrows its memory is halved. Pieces of
+over ``LONG`` bytes, and one that alone outgrows a query, are contracted by the same rule along a linked list and a heap.
 
-Defined results: a null text counts as empty, has no ids and decodes to nothing; repeated rows encode alike.
+Defined results: a null text counts as empty, has no ids and decodes to nothing; repeated rows encode alike; columns
+other than the key and the text, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -16,7 +20,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from array import array
 from collections.abc import Iterator
 
 import duckdb
@@ -29,41 +32,67 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from terrace.llm._store import ARROW_ROWS, small_batches, tidy, worker_own
 
-#: Distinct pieces that a worker keeps, the pieces of one query, and the bytes from which a piece is long.
-CACHE, PIECES, LONG = 600_000, 60_000, 64
-#: Pieces of texts that wait for a query.
-HELD = 4_000_000
+#: Distinct pieces that a worker keeps, and the bytes from which a piece is long (a position takes ten bits of a row's key).
+CACHE, LONG = 600_000, 1024
+#: New pieces after which a query is worth its cost, pieces of texts that wait for it, and bytes of the pieces of one query.
+FRESH, HELD, QUERY_BYTES = 40_000, 2_000_000, 400_000
+#: Megabytes that DuckDB may take.
+ENGINE_MB = 200
 
-#: A row is a token of piece ``w`` after ``n`` contractions: its position, the next token's, both tokens, and the rank of
-#: the pair. The pair's rank is also the id of what it contracts to. Pieces without a mergeable pair are done.
+#: A row is a token of piece ``k // 1024`` after ``n`` contractions of its piece: the key ``k`` (piece and position of its first
+#: byte), the token, the next token, the bytes before it, after it and after the next token, the rank of the pair (also
+#: the id of what it contracts to), and whether its turn is sure to come. Pieces without a mergeable pair are done.
 STEPS = """
-WITH RECURSIVE step(w, n, p, q, t, r, m) AS (
-  SELECT s.w, CAST(0 AS SMALLINT), s.p, s.q, s.t, s.r, merges.m
-  FROM (SELECT w, p, lead(p) OVER o AS q, t, lead(t) OVER o AS r FROM start WINDOW o AS (PARTITION BY w ORDER BY p)) s
-  LEFT JOIN merges ON merges.l = s.t AND merges.r = s.r
+WITH RECURSIVE step(k, n, t, r, before, after, beyond, m, sure) AS (
+  SELECT s.k, CAST(0 AS SMALLINT), s.t, s.r, s.before, s.after, s.beyond, {rank}
+  FROM (
+    SELECT k, t, lead(t) OVER o AS r, lag(b) OVER o AS before, lead(b) OVER o AS after, lead(b, 2) OVER o AS beyond
+    FROM start WINDOW o AS (PARTITION BY k // 1024 ORDER BY k)) s {merges}
   UNION ALL
-  SELECT x.w, x.n, x.p, x.q, x.t, x.r, CASE WHEN fresh THEN merges.m ELSE x.m END
+  SELECT s.k, s.n, s.t, s.r, s.before, s.after, s.beyond, {rank}
   FROM (
-    SELECT s.w, CAST(s.n + 1 AS SMALLINT) AS n, s.p,
-           CASE WHEN s.p = least.p THEN after.q ELSE s.q END AS q,
-           CASE WHEN s.p = least.p THEN least.m ELSE s.t END AS t,
-           CASE WHEN s.p = least.p THEN after.r WHEN s.q = least.p THEN least.m ELSE s.r END AS r,
-           s.m, s.p = least.p OR coalesce(s.q = least.p, false) AS fresh
-    FROM step s
-    JOIN (
-      SELECT w, CAST(k >> 32 AS INT) AS m, CAST((k >> 16) & 65535 AS SMALLINT) AS p, CAST(k & 65535 AS SMALLINT) AS q
-      FROM (SELECT w, min(CAST(m AS BIGINT) * 4294967296 + p * CAST(65536 AS BIGINT) + q) AS k FROM step WHERE m IS NOT NULL GROUP BY w)
-    ) least ON least.w = s.w
-    JOIN step after ON after.w = least.w AND after.p = least.q
-    WHERE s.p <> least.q) x
-  LEFT JOIN merges ON fresh AND merges.l = x.t AND merges.r = x.r)
-"""
-
-#: What the pieces came to: their ids as text, how many, and the bytes (in hex) that the ids stand for.
+    SELECT k, n, t, before, after, go,
+           CASE WHEN after IS NOT NULL THEN CASE WHEN go THEN lead(t, 2) OVER o ELSE lead(t) OVER o END END AS r,
+           CASE WHEN after IS NOT NULL THEN CASE WHEN go THEN lead(after, 2) OVER o ELSE lead(after) OVER o END END AS beyond,
+           lag(go) OVER o AS gone
+    FROM (
+      SELECT k, CAST(n + 1 AS SMALLINT) AS n, CASE WHEN go THEN m ELSE t END AS t, before, CASE WHEN go THEN beyond ELSE after END AS after, go
+      FROM (
+        SELECT step.*, m IS NOT NULL AND (sure OR m * 1024 + k % 1024 = least.v) AS go
+        FROM step JOIN (SELECT k // 1024 AS w, min(m * 1024 + k % 1024) AS v FROM step WHERE m IS NOT NULL GROUP BY ALL) least ON least.w = step.k // 1024))
+    WINDOW o AS (ORDER BY k)) s {merges}
+  WHERE s.gone IS NOT TRUE)
+""".format(
+    rank="merges.m, merges.m < coalesce(lefts.m, 65536) AND merges.m <= coalesce(rights.m, 65536)",
+    merges="""
+  LEFT JOIN merges ON merges.pair = CAST(s.t AS UINTEGER) * 65536 + CAST(s.r AS UINTEGER)
+  LEFT JOIN lefts ON lefts.pair = s.before * 65536 + s.t
+  LEFT JOIN rights ON rights.pair = s.r * 256 + s.beyond""",
+)
+
+#: What the pieces came to: each token's id and the bytes (in hex) that it stands for, in order.
 ENCODED = """
-SELECT w, string_agg(CAST(t AS VARCHAR), ' ' ORDER BY p), count(*), string_agg(x, '' ORDER BY p)
-FROM step JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n) JOIN tokens USING (t) GROUP BY w
+SELECT w, string_agg(spelled, ' ' ORDER BY k)
+FROM (SELECT k // 1024 AS w, k, n, t FROM step) JOIN (SELECT k // 1024 AS w, max(n) AS n FROM step GROUP BY ALL) USING (w, n) JOIN tokens USING (t) GROUP BY w
 """
+#: Parts ids from decoded bytes in what is kept of a piece: no byte of a text in UTF-8.
+END = b"\xff"
+NO_RANK = 1 << 32
+
+
+def last_pair(token: bytes, ranks: dict[bytes, int]) -> list[bytes] | None:
+    """The two tokens that a token's own bytes contract to before the last step: its one pair that contraction can meet.
+
+    Two neighbours that make up a token came from their own bytes alone, by the order in which the token's bytes contract.
+    """
+    part = [token[k : k + 1] for k in range(len(token))]
+    while len(part) > 2:
+        found = [ranks.get(a + b, NO_RANK) for a, b in zip(part, part[1:])]
+        if (least := min(found)) == NO_RANK:
+            return None
+        k = found.index(least)
+        part[k : k + 2] = [part[k] + part[k + 1]]
+    return part
 
 
 class Merges:
@@ -72,59 +101,74 @@ class Merges:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        if max(self.ranks.values()) >= 1 << 16:
+            raise ValueError("a pair's key holds ranks below 65536")
         self.pattern = regex.compile(pattern)
-        self.by_rank = {r: t for t, r in self.ranks.items()}
         self.octets = np.array([self.ranks[bytes([k])] for k in range(256)], np.int32)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
-        pairs = [array("i") for _ in "lrm"]
+        self.by_rank = {r: t for t, r in self.ranks.items()}
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": f"{ENGINE_MB}MB", "temp_directory": ""})
+        pairs, lefts, rights = {}, {}, {}
         for token, rank in self.ranks.items():
-            for k in range(1, len(token)):
-                if (left := self.ranks.get(token[:k])) is not None and (right := self.ranks.get(token[k:])) is not None:
-                    for column, value in zip(pairs, (left, right, rank)):
-                        column.append(value)
-        ranked = pa.table(dict(zip("lrm", (pa.array(np.array(x)) for x in pairs))))  # noqa: F841  read by name
-        tokens = pa.table({"t": pa.array(self.ranks.values(), pa.int32()), "x": pa.array([t.hex() for t in self.ranks])})  # noqa: F841
-        self.con.execute("CREATE TABLE merges AS SELECT * FROM ranked")
-        self.con.execute("CREATE TABLE tokens AS SELECT * FROM tokens")
+            if len(token) > 1 and (pair := last_pair(token, self.ranks)):
+                left, right = (self.ranks[t] for t in pair)
+                if rank <= max(left, right):
+                    raise ValueError("a token ranks above one that it is made of")
+                pairs[left << 16 | right] = rank
+                for held, key in ((lefts, pair[0][-1] << 16 | right), (rights, left << 8 | pair[1][0])):
+                    held[key] = min(rank, held.get(key, rank))
+        for name, held, kind in (("merges", pairs, pa.uint32()), ("lefts", lefts, pa.int32()), ("rights", rights, pa.int32())):
+            rows = pa.table({"pair": pa.array(held.keys(), kind), "m": pa.array(held.values(), pa.int32())})  # noqa: F841  read by name
+            self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM rows")
+        rows = pa.table({"t": pa.array(self.ranks.values(), pa.int32()), "spelled": pa.array([f"{r} {t.hex()}" for t, r in self.ranks.items()])})  # noqa: F841
+        self.con.execute("CREATE TABLE tokens AS SELECT * FROM rows")
         self.forget()
 
     def forget(self) -> None:
-        self.at, self.ids, self.count, self.back = Numbered(), [], array("q"), []
+        self.at, self.known = Numbered(), []
 
     def learn(self) -> None:
-        """Encode the pieces that were numbered but are not known yet."""
-        new = self.at.new
-        lo, query = len(self.ids), []
-        self.ids += [b""] * len(new)
-        self.count.frombytes(bytes(8 * len(new)))
-        self.back += [b""] * len(new)
+        """Encode the pieces that were numbered but are not known yet: ids as decimal text, ``END``, bytes as decoded, ``END``."""
+        new, lo = self.at.new, len(self.known)
+        self.at.new = []
+        self.known += [b""] * len(new)
+        query, size = [], 0
         for k, p in enumerate(new, lo):
             b = p.encode()
             rank = self.ranks.get(b)
             if rank is not None:
-                self.ids[k], self.count[k], self.back[k] = b"%d" % rank, 1, b
+                self.known[k] = b"%d%b%b%b" % (rank, END, b, END)
             elif len(b) > LONG:
-                ids = self.contract(b)
-                self.ids[k], self.count[k], self.back[k] = b" ".join(b"%d" % i for i in ids), len(ids), b"".join(map(self.by_rank.__getitem__, ids))
+                self._contracted(k, b)
             else:
                 query.append((k, b))
-        self.at.new = []
-        for at in range(0, len(query), PIECES):
-            self._query(query[at : at + PIECES])
+                size += len(b)
+                if size >= QUERY_BYTES:
+                    self._query(query)
+                    query, size = [], 0
+        if query:
+            self._query(query)
+
+    def _contracted(self, k: int, piece: bytes) -> None:
+        ids = self.contract(piece)
+        self.known[k] = b" ".join(b"%d" % i for i in ids) + END + b"".join(map(self.by_rank.__getitem__, ids)) + END
 
     def _query(self, pieces: list[tuple[int, bytes]]) -> None:
         sizes = np.fromiter((len(b) for _, b in pieces), np.int64, len(pieces))
         ends = np.cumsum(sizes)
-        start = pa.table(  # noqa: F841  read by name
-            {
-                "w": pa.array(np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)),
-                "p": pa.array((np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)).astype(np.int16)),
-                "t": pa.array(self.octets[np.frombuffer(b"".join(b for _, b in pieces), np.uint8)]),
-            }
-        )
-        for w, ids, n, back in self.con.execute(STEPS + ENCODED).fetchall():
-            k = pieces[w][0]
-            self.ids[k], self.count[k], self.back[k] = ids.encode(), n, bytes.fromhex(back)
+        octets = np.frombuffer(b"".join(b for _, b in pieces), np.uint8)
+        key = np.arange(ends[-1]) + np.repeat(1024 * np.arange(len(pieces)) - ends + sizes, sizes)
+        start = pa.table({"k": pa.array(key.astype(np.int32)), "t": pa.array(self.octets[octets]), "b": pa.array(octets.astype(np.int16))})  # noqa: F841
+        try:
+            found = self.con.execute(STEPS + ENCODED).fetchall()
+        except duckdb.OutOfMemoryException:
+            if len(pieces) == 1:
+                return self._contracted(*pieces[0])
+            half = len(pieces) // 2
+            self._query(pieces[:half])
+            return self._query(pieces[half:])
+        for w, spelled in found:
+            tokens = spelled.split(" ")
+            self.known[pieces[w][0]] = b"%b%b%b%b" % (" ".join(tokens[::2]).encode(), END, bytes.fromhex("".join(tokens[1::2])), END)
 
     def contract(self, piece: bytes) -> list[int]:
         """The same contraction for one long piece: the pair of least rank, leftmost first."""
@@ -145,17 +189,19 @@ class Merges:
                     heapq.heappush(heap, (r, a, part[a], part[b]))
         return [self.ranks[t] for t in part if t is not None]
 
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[list[bytes], int, list[bytes]]]:
-        """By text: the pieces' ids as decimal text, the number of ids, the pieces as decoded."""
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[list[bytes], list[bytes]]]:
+        """By text: the pieces' ids as decimal text, and the pieces as decoded."""
         return (found for found, _ in self.stream((t, None) for t in texts))
 
     def stream(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         """For (text, row) pairs, what ``encode`` gives by text and the row: texts wait as piece numbers until a query is worth its cost."""
         held, size = [], 0
         for text, row in rows:
-            held.append((np.array(list(map(self.at.__getitem__, self.pattern.findall(text or ""))), np.int32), row))
+            text = text or ""
+            pieces = self.pattern.findall(text) if len(text) < HELD else (p.group() for p in self.pattern.finditer(text))
+            held.append((np.fromiter(map(self.at.__getitem__, pieces), np.int32), row))
             size += len(held[-1][0])
-            if len(self.at.new) >= PIECES or size >= HELD:
+            if len(self.at.new) >= FRESH or size >= HELD:
                 yield from self._emit(held)
                 held, size = [], 0
                 if len(self.at) > CACHE:
@@ -164,10 +210,9 @@ class Merges:
 
     def _emit(self, held: list) -> Iterator[tuple]:
         self.learn()
-        ids, count, back = self.ids, np.array(self.count), self.back
         for numbers, row in held:
-            k = numbers.tolist()
-            yield ([ids[i] for i in k], int(count[numbers].sum()), [back[i] for i in k]), row
+            parts = b"".join(map(self.known.__getitem__, numbers.tolist())).split(END)
+            yield (parts[:-1:2], parts[1::2]), row
 
 
 class Numbered(dict):
@@ -200,9 +245,9 @@ def encode(docs: DataFrame, ranks: str, pattern: str, *, key: str = "doc_id", te
         kinds = [rows_type, pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.binary()]
         pairs = ((t, k) for b in batches for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
         out = []
-        for (own, count, decoded), k in coder.stream(pairs):
+        for (own, decoded), k in coder.stream(pairs):
             spelled, whole = b" ".join(own), b"".join(decoded)
-            row = (k, count, hashlib.sha256(spelled).hexdigest(), hashlib.sha256(whole).hexdigest())
+            row = (k, spelled.count(b" ") + bool(spelled), hashlib.sha256(spelled).hexdigest(), hashlib.sha256(whole).hexdigest())
             out.append((*row, [int(x) for x in spelled.split()], whole) if full else row)
             if len(out) == ARROW_ROWS:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names)

@@ -1,8 +1,10 @@
 import base64
 import hashlib
 import random
+import sys
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers as P
 import pytest
@@ -87,19 +89,49 @@ def test_recursive_queries_encode_like_the_library(spark):
 @pytest.mark.parametrize("seed", range(3))
 def test_query_and_heap_contract_alike(seed):
     own, rng = bpe.Merges(P.path("byte_bpe_50k.tiktoken"), P.PATTERN), random.Random(seed)
-    pieces = {"".join(rng.choice("aeinrst the") for _ in range(rng.randint(2, 60))) for _ in range(300)} | {"aaaa" * 15, "abab" * 15}
-    for p in pieces:
-        own.at[p]
+    pieces = {"".join(rng.choice("aeinrst the") for _ in range(rng.randint(2, 300))) for _ in range(300)} | {"aaaa" * 15, "abab" * 200, "é" * 511, "a" * 1024}
+    numbers = [own.at[p] for p in pieces]
     own.learn()
-    for p in pieces:
+    for p, k in zip(pieces, numbers):
         rank = own.ranks.get(p.encode())
         want = [rank] if rank is not None else own.contract(p.encode())
-        assert own.ids[dict.__getitem__(own.at, p)] == b" ".join(b"%d" % i for i in want)
+        assert own.known[k].split(bpe.END) == [b" ".join(b"%d" % i for i in want), p.encode(), b""]
 
 
 def test_caches_may_forget_between_texts(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 50)
-    monkeypatch.setattr(bpe, "PIECES", 20)
+    monkeypatch.setattr(bpe, "FRESH", 20)
+    monkeypatch.setattr(bpe, "HELD", 2000)
     own, coder = bpe.Merges(P.path("byte_bpe_50k.tiktoken"), P.PATTERN), library()
-    for t, (ids, n, _) in zip(texts(), own.encode(texts()), strict=True):
-        assert [int(x) for x in b" ".join(ids).split()] == coder.encode_ordinary(t or "") and n == len(coder.encode_ordinary(t or ""))
+    for t, (ids, back) in zip(texts(), own.encode(texts()), strict=True):
+        assert [int(x) for x in b" ".join(ids).split()] == coder.encode_ordinary(t or "") and b"".join(back) == (t or "").encode()
+
+
+def test_many_distinct_long_pieces():
+    """Runs of 20 Han characters and words of up to 60 random letters, each of its own."""
+    rng = random.Random(4)
+    rows = [" ".join("".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(20)) for _ in range(3000))]
+    rows += [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.choice((24, 60)))) for _ in range(3000))]
+    own, coder = bpe.Merges(P.path("byte_bpe_50k.tiktoken"), P.PATTERN), library()
+    for t, (ids, back) in zip(rows, own.encode(rows), strict=True):
+        assert [int(x) for x in b" ".join(ids).split()] == coder.encode_ordinary(t) and b"".join(back) == t.encode()
+
+
+def test_a_query_that_outgrows_its_memory_is_halved():
+    rng = random.Random(5)
+    t = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60)) for _ in range(40))
+    own = bpe.Merges(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    held, sizes = own.con, []
+
+    class Small:
+        def execute(self, sql):
+            start = sys._getframe(1).f_locals["start"]
+            sizes.append(len(set((start["k"].to_numpy() // 1024).tolist())))
+            if sizes[-1] > 10 or len(sizes) > 6:
+                raise duckdb.OutOfMemoryException("too large")
+            held.register("start", start)
+            return held.execute(sql)
+
+    own.con = Small()
+    ((ids, _),) = own.encode([t])
+    assert [int(x) for x in b" ".join(ids).split()] == library().encode_ordinary(t) and 1 in sizes
