@@ -354,30 +354,55 @@ def _parities(tokens: np.ndarray) -> bytes:
     return np.packbits(np.bincount((tokens >> np.uint64(20) & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1).tobytes()
 
 
-def _shingle_sets(shingle: int):
+def _profile(tokens: np.ndarray) -> bytes:
+    """How many hashes are in each class, two to four a class on average: sets differ in as many hashes as their profiles, at least."""
+    classes = 8
+    while 4 * classes < len(tokens):
+        classes *= 2
+    return np.minimum(np.bincount((tokens >> np.uint64(20) & np.uint64(classes - 1)).astype(np.int64), minlength=classes), 255).astype(np.uint8).tobytes()
+
+
+def _may_be_similar(x: bytes, y: bytes, similarity: float) -> bool:
+    """False only where the profiles show that the sets cannot be as similar."""
+    x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (x, y))
+    if max(x.max(), y.max()) == 255:
+        return True
+    while len(x) > len(y):
+        x = x.reshape(2, -1).sum(axis=0)
+    while len(y) > len(x):
+        y = y.reshape(2, -1).sum(axis=0)
+    both, differ = int(x.sum() + y.sum()), int(np.abs(x - y).sum())
+    return both - differ >= similarity * (both + differ) - 1e-9
+
+
+def _of_sets(shingle: int, make):
+    """Rows of texts with what ``make`` gives of their sets of shingles."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [_shingle_set(t or b"", shingle) for t in b.column(2).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array(map(_parities, sets), pa.binary())], ["s1", "s2", "set", "parities"])
+            held = [make(_shingle_set(t or b"", shingle)) for t in b.column(2).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(held, pa.binary())], ["s1", "s2", "held"])
 
     return run
 
 
-def _similar(similarity: float):
+def _similar(x: bytes, y: bytes, similarity: float) -> bool:
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= similarity * (len(x) + len(y) - both)
+
+
+def _kept_pairs(test, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
-            for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both))
+            keep = [test(x, y, similarity) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist())]
             yield pa.RecordBatch.from_arrays(b.columns[:4], names=["a1", "a2", "b1", "b2"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _sets(sides: DataFrame, marked: DataFrame, first: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """Set of shingles, and its parities, of the different texts ``s1, s2``.
+def _sets(sides: DataFrame, marked: DataFrame, first: DataFrame, key: str, text: str, shingle: int, make) -> DataFrame:
+    """``held``: what ``make`` gives of the set of shingles of the different texts ``s1, s2``.
 
     Only these texts are shuffled, one row of each: a bitmap of fixed size holds back the others.
     """
@@ -396,16 +421,24 @@ def _sets(sides: DataFrame, marked: DataFrame, first: DataFrame, key: str, text:
     ids = first.join(sides, (first.h1 == sides.s1) & (first.h2 == sides.s2), "left_semi").select("h1", "h2", F.col("id").alias("__id"))
     some = marked.select("__h1", "__h2", F.col(key).alias("__own"), F.col(text).alias("__text")).where(maybe("__h1"))
     one = some.join(ids, (F.col("__h1") == F.col("h1")) & (F.col("__h2") == F.col("h2")) & F.col("__own").eqNullSafe(F.col("__id")))
-    return one.select("h1", "h2", "__text").mapInArrow(tidy(_shingle_sets(shingle)), "s1 long, s2 long, set binary, parities binary").dropDuplicates(["s1", "s2"])
+    return one.select("h1", "h2", "__text").mapInArrow(tidy(_of_sets(shingle, make)), "s1 long, s2 long, held binary").dropDuplicates(["s1", "s2"])
 
 
-def _verified(pairs: DataFrame, sets_of, similarity: float, scratch: Scratch, tag: str) -> DataFrame:
-    """Those of the open pairs whose sets of shingles are as similar as asked for."""
+def _tested(pairs: DataFrame, sets_of, make, test, similarity: float, scratch: Scratch, tag: str) -> DataFrame:
+    """Those of the pairs that pass a test of what is held of their sets."""
     sides = pairs.select(F.col("a1").alias("s1"), F.col("a2").alias("s2")).unionByName(pairs.select(F.col("b1").alias("s1"), F.col("b2").alias("s2"))).distinct()
-    sets = scratch.save(sets_of(sides).drop("parities"), tag)
-    left = pairs.join(sets.withColumnRenamed("set", "x"), (F.col("a1") == F.col("s1")) & (F.col("a2") == F.col("s2"))).drop("s1", "s2")
-    both = left.join(sets.withColumnRenamed("set", "y"), (F.col("b1") == F.col("s1")) & (F.col("b2") == F.col("s2"))).select("a1", "a2", "b1", "b2", "x", "y")
-    return both.mapInArrow(tidy(_similar(similarity)), "a1 long, a2 long, b1 long, b2 long")
+    held = scratch.save(sets_of(sides, make), f"{tag}-held")
+    left = pairs.join(held.withColumnRenamed("held", "x"), (F.col("a1") == F.col("s1")) & (F.col("a2") == F.col("s2"))).drop("s1", "s2")
+    both = left.join(held.withColumnRenamed("held", "y"), (F.col("b1") == F.col("s1")) & (F.col("b2") == F.col("s2"))).select("a1", "a2", "b1", "b2", "x", "y")
+    out = scratch.save(both.mapInArrow(tidy(_kept_pairs(test, similarity)), "a1 long, a2 long, b1 long, b2 long"), tag)
+    scratch.drop(f"{tag}-held")
+    return out
+
+
+def _verified(pairs: DataFrame, sets_of, similarity: float, scratch: Scratch, tag: str) -> DataFrame:
+    """Those of the open pairs whose sets of shingles are as similar as asked for. Profiles, a small part of the sets, go first."""
+    close = _tested(pairs, sets_of, _profile, _may_be_similar, similarity, scratch, f"{tag}-close")
+    return _tested(close, sets_of, np.ndarray.tobytes, _similar, similarity, scratch, tag)
 
 
 def _rooted(links: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
@@ -433,13 +466,13 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *
     entries = marked.select("__h1", "__h2", text).mapInArrow(tidy(_prefixes(shingle, similarity, common, BLOCKS * parts)), "block int, entries binary")
     found = entries.repartition(parts, "block").mapInArrow(tidy(_first_pairs(similarity)), "large boolean, a1 long, a2 long, b1 long, b2 long")
     found, pair = scratch.save(found, "pairs"), ["a1", "a2", "b1", "b2"]
-    sets_of = lambda sides: _sets(sides, marked, first, key, text, shingle)
+    sets_of = lambda sides, make: _sets(sides, marked, first, key, text, shingle, make)
     verify = lambda pairs, tag: _verified(pairs, sets_of, similarity, scratch, tag)
     tried = scratch.save(found.where("not large").select(*pair).distinct(), "tried")
-    joined = _rooted(scratch.save(verify(tried, "sets"), "similar"), scratch, "links")
+    joined = _rooted(verify(tried, "similar"), scratch, "links")
     # Large postings once more: what is still apart there is compared wholly.
     large = found.where("large").select(F.col("a1").alias("h1"), F.col("a2").alias("h2"), F.col("b1").alias("token"), F.col("b2").alias("place"))
-    members = scratch.save(sets_of(large.select(F.col("h1").alias("s1"), F.col("h2").alias("s2")).distinct()).drop("set"), "members")
+    members = scratch.save(sets_of(large.select(F.col("h1").alias("s1"), F.col("h2").alias("s2")).distinct(), _parities).withColumnRenamed("held", "parities"), "members")
     known = members.join(joined, (members.s1 == joined.n1) & (members.s2 == joined.n2), "left").drop("n1", "n2")
     placed = large.join(known, (large.h1 == known.s1) & (large.h2 == known.s2))
     member = F.struct("h1", "h2", "place", "parities", F.coalesce("root.h1", "h1").alias("r1"), F.coalesce("root.h2", "h2").alias("r2"))
@@ -448,7 +481,7 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *
     roots = joined
     if not rest.isEmpty():
         stars = joined.select(F.col("root.h1").alias("a1"), F.col("root.h2").alias("a2"), F.col("n1").alias("b1"), F.col("n2").alias("b2"))
-        roots = _rooted(stars.unionByName(verify(rest, "sets2")), scratch, "links2")
+        roots = _rooted(stars.unionByName(verify(rest, "similar2")), scratch, "links2")
     rooted = first.join(roots, (first.h1 == roots.n1) & (first.h2 == roots.n2), "left").withColumn("root", F.coalesce("root", F.struct("h1", "h2")))
     kept = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h1", "h2")).alias("k"))
     kept = scratch.save(kept.select(F.col("k.id").alias("__id"), F.col("k.h1").alias("__k1"), F.col("k.h2").alias("__k2")), "kept")
