@@ -7,12 +7,15 @@ corpus, kept in two tables of fixed size. Each group fits in memory and builds i
 deep internal node (two leaves or more) is a repeat; its first leaf stays, all others start a window that is covered.
 Runs of such windows in a document make up its maximal repeats.
 
-A label is a 64-bit hash chained word by word (its first links are the prefixes' labels), so two different windows
-of a group are taken for equal with a chance of 2 to the power -64. Records travel as arrays, a row for each group and
-batch; what repeats within a batch is decided there, so a passage in very many documents gives one record a batch.
-
-Defined results: a null text has no words; a text of fewer words than the window stays; rows that share a ``doc_id``
-are the same document given several times (a place covered in one is covered in all); a null id is smaller than all others.
+A label is a 64-bit hash chained word by word (its first links are the prefixes' labels). Only labels of one group are held
+against each other, and a group has ``GROUP`` suffixes at most but for one window's own: of N windows, fewer than N * GROUP / 2 ** 65
+are expected to be taken for another (0.06 of 10 ** 12). Records travel as arrays, a row for each group and batch. What repeats
+within a batch is decided there and goes past the groups, so a passage in very many documents gives its group one record a batch.
+
+Defined results: a null text has no words; a text of fewer words than the window stays; a null id is smaller than all others.
+Rows that share an id are judged each on its own text, by the places of all of them: a window goes if it also starts at a smaller id
+or at the same id and an earlier start, in whichever row. Columns of the input keep their names and values, whatever the names; a
+column named like a result (``n_words``, ``n_removed``, ``removed_spans``) is replaced by it.
 """
 
 from __future__ import annotations
@@ -61,14 +64,18 @@ def labels(words: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
     return out
 
 
+#: A document: its id, and a hash of its id and text that tells rows of one id apart.
+DOC = np.dtype([("id", "<i8"), ("row", "<i8")])
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Batches of documents: ids, numbers of words, the hashes of all words; documents in ascending id order."""
+    """Batches of documents: these, numbers of words, the hashes of all words; documents in ascending order."""
     ids, parts, size, hashes = [], [], 0, worker_own("substring", WordHashes)
     for b in batches:
-        for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+        for doc_id, row, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist()):
             words = (text or b"").split()
             if len(words) >= WINDOW:
-                ids.append(doc_id)
+                ids.append((doc_id, row))
                 parts.append(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
                 size += len(words)
             if size >= BATCH_WORDS:
@@ -79,8 +86,8 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.n
 
 
 def _ordered(ids: list, parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    ids = np.array(ids, np.int64)
-    order = np.argsort(ids, kind="stable")
+    ids = np.array(ids, DOC)
+    order = np.lexsort([ids["row"], ids["id"]])
     return ids[order], np.array([len(parts[k]) for k in order]), np.concatenate([parts[k] for k in order])
 
 
@@ -142,20 +149,23 @@ def _runs(values: np.ndarray) -> np.ndarray:
 
 def _packed(ids: np.ndarray, starts: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """Documents, how many starts each has, and the starts; ``ids`` come in runs. Starts take two bytes where they fit."""
-    at = _runs(ids)
+    at = _runs(ids["row"])
     sizes = np.diff(np.append(at, len(ids))).astype("<u4")
     wide = len(starts) and int(starts.max()) > 0xFFFF
-    return ids[at].astype("<i8").tobytes(), sizes.tobytes(), starts.astype("<u4" if wide else "<u2").tobytes()
+    return ids[at].tobytes(), sizes.tobytes(), starts.astype("<u4" if wide else "<u2").tobytes()
 
 
 def _unpacked(ids: bytes, sizes: bytes, starts: bytes) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.frombuffer(sizes, "<u4")
     n = int(sizes.sum())
-    return np.repeat(np.frombuffer(ids, "<i8"), sizes), np.frombuffer(starts, "<u4" if len(starts) == 4 * n and n else "<u2").astype(np.int64)
+    return np.repeat(np.frombuffer(ids, DOC), sizes), np.frombuffer(starts, "<u4" if len(starts) == 4 * n and n else "<u2").astype(np.int64)
 
 
-def _records(groups: Groups):
-    """A row for each group and batch: labels of the suffixes, their documents and starts; and those that repeat within the batch."""
+def _records(groups: Groups, buckets: int):
+    """A row for each group and batch: labels of the suffixes, their documents and starts.
+
+    Those that repeat within the batch need no decision any more: they get rows of their own, by final bucket behind the groups.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, sizes, words in _texts(batches):
@@ -168,15 +178,15 @@ def _records(groups: Groups):
             head[_runs(whole[order])] = True
             again = np.zeros(len(order), bool)
             again[order] = ~head
-            if len(ids) > 1 and (ids[1:] == ids[:-1]).any():  # a document given twice doesn't repeat itself
-                again[order] = ~_same_place(whole[order], ids[doc[order]], start[order])
-            order = np.argsort(group, kind="stable")
-            rows = []
-            cuts = np.append(_runs(group[order]), len(order))
-            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                own = order[lo:hi]
-                first, rest = own[~again[own]], own[again[own]]
-                rows.append((int(group[own[0]]), whole[first].tobytes(), *_packed(ids[doc[first]], start[first]), *_packed(ids[doc[rest]], start[rest])))
+            if len(ids) > 1 and (ids["id"][1:] == ids["id"][:-1]).any():  # rows of one id: a window doesn't repeat itself at its own place
+                again[order] = ~_first_place(whole[order], ids["id"][doc[order]], start[order])
+            first = np.flatnonzero(~again)
+            first = first[np.argsort(group[first], kind="stable")]
+            rows = [(int(group[own[0]]), whole[own].tobytes(), *_packed(ids[doc[own]], start[own])) for own in _parts(first, group)]
+            late = np.flatnonzero(again)
+            bucket = groups.count + _bucket(ids["row"], buckets)[doc]
+            late = late[np.argsort(bucket[late], kind="stable")]
+            rows += [(int(bucket[own[0]]), b"", *_packed(ids[doc[own]], start[own])) for own in _parts(late, bucket)]
             if rows:
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], ["group", *RECORD])
@@ -184,11 +194,16 @@ def _records(groups: Groups):
     return run
 
 
-RECORD = ["labels", "ids", "sizes", "starts", "again_ids", "again_sizes", "again_starts"]
+RECORD = ["labels", "ids", "sizes", "starts"]
+
 
+def _parts(order: np.ndarray, value: np.ndarray) -> list[np.ndarray]:
+    """``order`` cut where the value of its members changes."""
+    return np.split(order, _runs(value[order])[1:]) if len(order) else []
 
-def _same_place(label: np.ndarray, ids: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Of rows in order of label: true where document and start are those of the label's first row."""
+
+def _first_place(label: np.ndarray, ids: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """True where id and start are the least of all with the same label."""
     order = np.lexsort([start, ids, label])
     at = _runs(label[order])
     first = order[np.repeat(at, np.diff(np.append(at, len(order))))]
@@ -197,35 +212,39 @@ def _same_place(label: np.ndarray, ids: np.ndarray, start: np.ndarray) -> np.nda
     return out
 
 
-def _subtree(buckets: int):
-    """Repeats of one group: leaves of deep internal nodes but for each node's first, packed by the documents' final bucket."""
+def _subtree(count: int, buckets: int):
+    """Repeats of one group: leaves of deep internal nodes but for each node's first, packed by the documents' final bucket.
+
+    A group from ``count`` on holds places that are known to repeat, of one final bucket.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         cols = [[x.as_buffer() for x in table.column(n)] for n in RECORD]
-        label = np.concatenate([np.frombuffer(x, np.uint64) for x in cols[0]])
-        order = np.argsort(label, kind="stable")
-        at = _runs(label[order])
-        size = np.diff(np.append(at, len(order)))
-        leaves = np.sort(order[np.repeat(size > 1, size)])  # below an internal node
-        del order, at, size
-        label = label[leaves]
-        ends = np.cumsum([len(x) // 8 for x in cols[0]])
-        ids, start = np.empty(len(leaves), np.int64), np.empty(len(leaves), np.int64)
-        for k, x in enumerate(zip(*cols[1:4])):  # places of the leaves only
-            lo, hi = np.searchsorted(leaves, [ends[k - 1] if k else 0, ends[k]])
-            if hi > lo:
-                own = _unpacked(*x)
-                where = leaves[lo:hi] - (ends[k - 1] if k else 0)
-                ids[lo:hi], start[lo:hi] = own[0][where], own[1][where]
-        late = ~_same_place(label, ids, start)
-        known = [_unpacked(*x) for x in zip(*cols[4:7])]
-        ids = np.concatenate([ids[late], *(k[0] for k in known)])
-        start = np.concatenate([start[late], *(k[1] for k in known)])
-        bucket = _bucket(ids, buckets)
-        order = np.lexsort([start, ids, bucket])
+        if table.column("group")[0].as_py() >= count:
+            known = [_unpacked(*x) for x in zip(*cols[1:])]
+            ids, start = (np.concatenate([k[i] for k in known]) for i in (0, 1))
+        else:
+            label = np.concatenate([np.frombuffer(x, np.uint64) for x in cols[0]])
+            order = np.argsort(label, kind="stable")
+            at = _runs(label[order])
+            size = np.diff(np.append(at, len(order)))
+            leaves = np.sort(order[np.repeat(size > 1, size)])  # below an internal node
+            del order, at, size
+            label = label[leaves]
+            ends = np.cumsum([len(x) // 8 for x in cols[0]])
+            ids, start = np.empty(len(leaves), DOC), np.empty(len(leaves), np.int64)
+            for k, x in enumerate(zip(*cols[1:])):  # places of the leaves only
+                lo, hi = np.searchsorted(leaves, [ends[k - 1] if k else 0, ends[k]])
+                if hi > lo:
+                    own = _unpacked(*x)
+                    where = leaves[lo:hi] - (ends[k - 1] if k else 0)
+                    ids[lo:hi], start[lo:hi] = own[0][where], own[1][where]
+            late = ~_first_place(label, ids["id"], start)
+            ids, start = ids[late], start[late]
+        bucket = _bucket(ids["row"], buckets)
+        order = np.lexsort([start, ids["row"], ids["id"], bucket])
         ids, start, bucket = ids[order], start[order], bucket[order]
-        cuts = np.append(_runs(bucket), len(bucket)) if len(bucket) else np.zeros(1, int)
-        rows = [(int(bucket[lo]), *_packed(ids[lo:hi], start[lo:hi])) for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        rows = [(int(bucket[own[0]]), *_packed(ids[own], start[own])) for own in _parts(np.arange(len(bucket)), bucket)]
         cols = list(zip(*rows)) if rows else [[]] * 4
         hand_back()
         return pa.table([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "ids", "sizes", "starts"])
@@ -239,23 +258,22 @@ def _bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
         return ((h >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
 
 
-def _apply(schema: pa.Schema, key: int, text: int, joined: bool):
+def _apply(schema: pa.Schema, text: int, joined: bool):
     """Take covered words out of the texts of one bucket."""
 
     def run(docs: pa.Table, covered: pa.Table) -> pa.Table:
         at: dict[int, list] = {}
         for row in zip(*(covered.column(n).to_pylist() for n in ("ids", "sizes", "starts"))):
             ids, start = _unpacked(*row)
-            cuts = np.append(_runs(ids), len(ids))
+            cuts = np.append(_runs(ids["row"]), len(ids))
             for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                at.setdefault(int(ids[lo]), []).append(start[lo:hi])
+                at.setdefault(int(ids["row"][lo]), []).append(start[lo:hi])
         out, n_words, n_removed, spans = [], [], [], []
-        for doc_id, own in zip(docs.column(key).to_pylist(), docs.column(text).cast(pa.binary()).to_pylist()):
+        for row, own in zip(docs.column(docs.num_columns - 2).to_pylist(), docs.column(text).cast(pa.binary()).to_pylist()):
             words = (own or b"").split()
             gone = None
-            if starts := at.get(NO_ID if doc_id is None else doc_id):
+            if starts := at.get(row):
                 starts = np.concatenate(starts)
-                starts = starts[starts <= len(words) - WINDOW]
                 edge = np.zeros(len(words) + 1, np.int32)
                 np.add.at(edge, starts, 1)
                 np.add.at(edge, starts + WINDOW, -1)
@@ -271,13 +289,17 @@ def _apply(schema: pa.Schema, key: int, text: int, joined: bool):
                 turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
                 spans.append(turns.tolist())
         hand_back()
-        cols = [docs.column(k) for k in range(docs.num_columns - 1)]
+        cols = [docs.column(k) for k in range(docs.num_columns - 2)]
         cols[text] = pa.chunked_array([pa.array(out, pa.binary()).cast(pa.string())])
         return pa.table([*cols, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, pa.list_(pa.int32()))], schema=schema)
 
     return run
 
 
+#: Columns that the operator adds.
+ADDED = ["n_words", "n_removed", "removed_spans"]
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", *, joined: bool = True) -> DataFrame:
     """``docs`` without the words of windows that also start earlier; adds n_words, n_removed and removed_spans.
 
@@ -287,31 +309,36 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "substring")
-    plain = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
-    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    docs = docs.drop(*ADDED)
+    number = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID))
+    row = F.xxhash64(number, F.col(f"`{text}`"))
+    plain = docs.select(number.alias("id"), row.alias("row"), F.col(f"`{text}`").alias("text"))
+    size = docs.agg(F.sum(F.octet_length(f"`{text}`"))).first()[0] or 0
     counts = np.zeros(SHORT_TABLE + MIDDLE_TABLE, np.int64)
     for at, n in plain.mapInArrow(tidy(_count), "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # as many rows as the tables have entries
         counts[at] = n
     groups, buckets = Groups(counts), int(max(MIN_GROUPS, -(-size // BUCKET_BYTES)))
-    records = plain.mapInArrow(tidy(_records(groups)), "group int, " + ", ".join(f"{n} binary" for n in RECORD))
-    found = records.repartition(max(MIN_GROUPS, groups.count), "group").groupBy("group").applyInArrow(_subtree(buckets), "bucket int, ids binary, sizes binary, starts binary")
+    records = plain.mapInArrow(tidy(_records(groups, buckets)), "group int, " + ", ".join(f"{n} binary" for n in RECORD))
+    found = records.repartition(max(MIN_GROUPS, groups.count), "group").groupBy("group").applyInArrow(_subtree(groups.count, buckets), "bucket int, ids binary, sizes binary, starts binary")
     covered = scratch.save(found, "covered")
     del records, found
     release_shuffles(spark)
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(k).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_bucket(ids, buckets))], [*b.schema.names, "__bucket"])
-
-    k, at = docs.columns.index(key), docs.columns.index(text)
-    dealt = docs.withColumn(key, F.col(key).cast("long"))
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema)
-    numbered = dealt.mapInArrow(number, f"{columns}, __bucket int")
+            own = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_bucket(own, buckets))], [*b.schema.names, "bucket"])
+
+    # Columns travel under numbers, so that names of the input cannot clash with those of the operator.
+    names, kinds = docs.columns, [f.dataType.simpleString() for f in docs.schema]
+    kinds[names.index(key)] = "bigint"
+    inner = [F.col(f"`{n}`").cast("long").alias(f"c{k}") if n == key else F.col(f"`{n}`").alias(f"c{k}") for k, n in enumerate(names)]
+    columns = ", ".join(f"c{k} {kind}" for k, kind in enumerate(kinds))
+    numbered = docs.select(*inner, row.alias("row")).mapInArrow(dealt, f"{columns}, row bigint, bucket int")
     result = f"{columns}, n_words long, n_removed long, removed_spans array<int>"
     schema = to_arrow_schema(spark.createDataFrame([], result).schema)
-    pairs = numbered.groupBy("__bucket").cogroup(covered.groupBy("bucket"))
-    return pairs.applyInArrow(_apply(schema, k, at, joined), result)
+    pairs = numbered.groupBy("bucket").cogroup(covered.groupBy("bucket"))
+    return pairs.applyInArrow(_apply(schema, names.index(text), joined), result).toDF(*names, *ADDED)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,19 +15,20 @@ def brute(rows):
         for k in range(len(words) - 19):
             w = tuple(words[k : k + 20])
             first[w] = min(first.get(w, (i, k)), (i, k))
-    covered = {}
     for i, words in split:
+        gone = set()
         for k in range(len(words) - 19):
             if first[tuple(words[k : k + 20])] < (i, k):
-                covered.setdefault(i, set()).update(range(k, k + 20))
-    for i, words in split:
-        kept = [w for k, w in enumerate(words) if k not in covered.get(i, ())]
+                gone.update(range(k, k + 20))
+        kept = [w for k, w in enumerate(words) if k not in gone]
         out.append((i, b" ".join(kept).decode(), len(words), len(words) - len(kept)))
     return sorted(out)
 
 
 def run(spark, rows, **options):
-    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit(1)).withColumn("bucket", F.lit("b"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("ids", "bucket", "row", "c0", "id", "n_words", "removed_spans"):
+        frame = frame.withColumn(name, F.lit("own"))
     got = substring.remove_repeats(frame.repartition(3), **options).collect()
     return sorted((substring.NO_ID if r.doc_id is None else r.doc_id, r.text or "", r.n_words, r.n_removed) for r in got)
 
@@ -67,6 +68,20 @@ def test_repeated_rows_do_not_remove_each_other(spark):
     assert [x[3] for x in run(spark, rows)] == [0, 0, 50]
 
 
+def test_rows_of_one_id_are_judged_each_on_its_own_text(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = [(1, a), (2, a), (2, b), (None, b), (None, a + " x"), (None, "y " + a), (None, None), (3, f"{b} {a}"), (3, f"z {b}")]
+    assert run(spark, rows) == brute(rows)
+    assert [x[3] for x in run(spark, rows[:3])] == [0, 30, 0] or sorted(x[3] for x in run(spark, rows[:3])) == [0, 0, 30]
+
+
+def test_one_window_in_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(substring, "BATCH_WORDS", 100)  # known repeats then come from many batches
+    line = " ".join(f"w{i}" for i in range(20))
+    rows = [(i, f"a{i} {line} b{i}") for i in range(200)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_texts_that_lose_nothing_can_stay_as_they_are(spark):
     frame = spark.createDataFrame([(1, "a\n\nb  c"), (2, None)], "doc_id long, text string")
     assert sorted((r.doc_id, r.text) for r in substring.remove_repeats(frame, joined=False).collect()) == [(1, "a\n\nb  c"), (2, None)]
