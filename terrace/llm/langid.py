@@ -5,11 +5,14 @@ its exact code length under each tree: a byte costs -log2 of its probability in
 context; a context that has not seen the byte is left at the price of its escape probability (method C: distinct
 symbols over total plus distinct symbols, without exclusions), down to a uniform order. Contexts do not
 reach across white space and letters are lower-cased, so a text's length is the sum of its words' lengths,
-each closed by one separator, and equal words are scored once. Digits, ``@`` and ``=`` belong to no language: they part
-words as white space does, and the letters around them are scored. A text with a letter has scored bytes.
+each closed by one separator, and equal words are scored once. Runs of digits, ``@`` and ``=`` are words of their own, so that the
+letters beside them keep the contexts of letters. Every byte but white space is coded.
+
+Grams (a context and the byte after it) are counted by the executors; the driver gets the sums of those that the trees keep.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter, and for every text if there was
-nothing to learn from; ties go to the language that is first in code point order; repeated rows score alike.
+nothing to learn from; ties go to the language that is first in code point order; repeated rows score alike. Columns of the
+input keep their names and values, whatever the names; one named like a result (``lang_pred``, ``score``, ``lang_bits``) is replaced by it.
 """
 
 from __future__ import annotations
@@ -22,37 +25,35 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm._store import small_batches, tidy, worker_own
 
 #: Longest context in bytes.
 ORDER = 4
-#: Bounds of what is learned from: documents of a language (chosen by a hash of their id), distinct words in all, languages.
-SAMPLE_DOCS, SAMPLE_WORDS, MAX_LANGUAGES = 1500, 160_000, 400
-#: A context of three bytes or more is kept with the bytes that followed it at least so often.
-LEAST = 3
+#: Bounds of what is learned from: documents of a language (chosen by a hash of their id), and languages.
+SAMPLE_DOCS, MAX_LANGUAGES = 1500, 400
+#: A context of three bytes or more is kept with the bytes that followed it at least so often; the grams of all trees at most.
+LEAST, MAX_GRAMS = 3, 2_000_000
+#: Bytes of words that are counted together.
+COUNTED = 4 << 20
 #: Entries that a worker keeps of words and of contexts.
 CACHE = 200_000
-#: A text that costs more bits a byte than this in its best language (as many as bytes drawn at random) is in none of them.
-FOREIGN_BITS = 8.0
+#: A text that costs more bits a byte than this in its best language is in none of them: keys and numbers in a text cost up to ten bits
+#: or so (an escape or two and the byte), a script that no language has costs twenty.
+FOREIGN_BITS = 14.0
 UNKNOWN = "und"
 
 
 class ContextTrees:
     """Frozen trees of all languages: bits of a symbol in a context, and of leaving a context."""
 
-    def __init__(self, words: list[tuple[str, bytes, int]]):
-        self.langs = sorted({lang for lang, _, _ in words})
-        counts: dict[str, Counter] = {lang: Counter() for lang in self.langs}
-        for lang, word, n in words:
-            c, s = counts[lang], b" " + word + b" "
-            for i in range(1, len(s)):
-                for k in range(min(ORDER, i) + 1):
-                    c[s[i - k : i + 1]] += n
-        for lang, c in counts.items():
-            counts[lang] = Counter({g: n for g, n in c.items() if n >= LEAST or len(g) <= 3})
+    def __init__(self, grams: list[tuple[str, bytes, int]]):
+        self.langs = sorted({lang for lang, _, _ in grams})
+        counts: dict[str, dict[bytes, int]] = {lang: {} for lang in self.langs}
+        for lang, gram, n in grams:
+            counts[lang][gram] = n
         self.bits, self.leave = [], []
         for lang in self.langs:
             total, kinds = Counter(), Counter()
@@ -136,35 +137,67 @@ class Scorer:
         return out[:, :-1], out[:, -1]
 
 
-#: Characters of no language, as spaces.
-_PARTING = bytes.maketrans(b"0123456789@=", b" " * 12)
+#: What is in no word of letters.
+_SIGNS = re.compile(rb"[0-9@=]+")
 
 
 def words_of(text: bytes) -> list[bytes]:
-    return text.translate(_PARTING).split()
+    return _SIGNS.sub(rb" \g<0> ", text).split()
 
 
 def _has_letter(text: str) -> bool:
     return bool(re.search("[A-Za-z]", text)) or any(map(str.isalpha, text))
 
 
+def grams_of(words: list[bytes]) -> tuple[list[bytes], list[int]]:
+    """How often each byte followed each context of up to ``ORDER`` bytes, as context and byte together.
+
+    A context begins at the word's leading separator at the earliest: no space but as its first byte.
+    """
+    octets = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
+    grams, counts = [], []
+    code, inner = np.zeros(len(octets), np.uint64), np.ones(len(octets), bool)  # of the gram that ends here; no space behind its first byte
+    for k in range(ORDER + 1):  # bytes of context
+        if len(octets) <= max(1, k):
+            break
+        code = code[min(k, 1) :] | octets[: len(octets) - k].astype(np.uint64) << np.uint64(8 * k)
+        if k > 1:
+            inner = inner[1:] & (octets[1 : len(octets) - k + 1] != 32)
+        elif k == 1:
+            inner = inner[1:]
+        own = code[1:] if k == 0 else code[inner]
+        found, n = np.unique(own, return_counts=True)
+        grams += [int(c).to_bytes(k + 1, "big") for c in found]
+        counts += n.tolist()
+    return grams, counts
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of each language with their number, summed over a batch."""
+    """Grams of each language with their number, summed over some ``COUNTED`` bytes."""
+
+    def counted(lang: str, words: list[bytes]) -> pa.RecordBatch:
+        grams, n = grams_of(words)
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.binary()), pa.array(n, pa.int64())], ["lang", "gram", "n"])
+
+    held: dict[str, list] = {}
+    size: Counter = Counter()
     for b in batches:
-        found: dict[str, Counter] = {}
         for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            found.setdefault(lang, Counter()).update(words_of((text or "").lower().encode()))
-        rows = [(lang, w[:256], n) for lang, c in found.items() for w, n in c.items()]
-        if rows:
-            cols = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int64())], ["lang", "word", "n"])
+            for word in words_of((text or "").lower().encode()):
+                held.setdefault(lang, []).append(word)
+                size[lang] += len(word) + 1
+                if size[lang] >= COUNTED:
+                    yield counted(lang, held.pop(lang))
+                    size[lang] = 0
+    for lang, words in held.items():
+        yield counted(lang, words)
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> ContextTrees:
     """Fit the trees on a bounded sample of labelled rows: about ``SAMPLE_DOCS`` of each language, by a hash of ``key``.
 
-    Of the sample's distinct words the most frequent stay, ``SAMPLE_WORDS`` over all languages; a word counts by its first
-    256 bytes. More than ``MAX_LANGUAGES`` labels raise an error.
+    All words of the sampled texts count, whole. The trees keep grams of up to three bytes and those seen ``LEAST`` times, the most
+    frequent ``MAX_GRAMS`` of them. More than ``MAX_LANGUAGES`` labels raise an error.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("key")).where("lang is not null and text is not null")
@@ -175,17 +208,21 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
         return ContextTrees([])
     share = F.create_map(*[F.lit(x) for s, n in sizes.items() for x in (s, min(1.0, SAMPLE_DOCS / n))])
     chosen = rows.where((F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(1_000_003)) / 1_000_003.0) < share[F.col("lang")])
-    words = chosen.select("text", "lang").mapInArrow(tidy(_counts), "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    ranked = words.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word")))
-    kept = ranked.where(F.col("r") <= SAMPLE_WORDS // len(sizes)).drop("r").collect()
-    return ContextTrees([(r[0], bytes(r[1]), int(r[2])) for r in kept])
+    grams = chosen.select("text", "lang").mapInArrow(tidy(_counts), "lang string, gram binary, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    kept = grams.where((F.octet_length("gram") <= 3) | (F.col("n") >= LEAST)).orderBy(F.octet_length("gram") > 3, F.desc("n"), "lang", "gram").limit(MAX_GRAMS)
+    return ContextTrees([(r[0], bytes(r[1]), int(r[2])) for r in kept.collect()])
+
+
+#: Columns that the operator adds.
+ADDED = ["lang_pred", "score", "lang_bits"]
 
 
 def identify(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFrame:
     """Add lang_pred, score (posterior of the best language under equal priors) and lang_bits (bits a byte, null for ``und``)."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(trees)  # bounded by SAMPLE_WORDS
+    shared = spark.sparkContext.broadcast(trees)  # MAX_GRAMS at most
+    docs = docs.drop(*ADDED)
     model, names = uuid.uuid4().hex, docs.columns
     at = names.index(text)
 

@@ -108,9 +108,11 @@ def mix(docs: DataFrame, quotas: Mapping, members: str, size: str, key: str, *,
     ``members`` is an array column of sources, ``size`` a long column, ``key`` the document's id. Adds
     ``copies`` (int), ``taken`` (long, ``size`` times ``copies``) and ``given`` (array of the source that each
     copy goes to). A copy is taken if its middle lies in the flow's prefix, so a source misses its flow
-    by half a document at most. ``docs`` is read twice: write it first if it is costly.
+    by half a document at most. ``docs`` is read twice: write it first if it is costly. A column named like a result is
+    replaced by it; all others keep their names and values.
     """
     spark = docs.sparkSession
+    docs = docs.drop("copies", "taken", "given")
     n, pattern, order, bucket, before = (f"__mix_{x}" for x in ("size", "pattern", "order", "bucket", "before"))
     rows = (
         docs.withColumn(n, F.coalesce(F.col(size).cast("long"), F.lit(0)))
@@ -165,8 +167,9 @@ def source_targets(docs: DataFrame, source: str, size: str, *, weights=(3, 1, 2)
 
 
 def mix_by_source(docs: DataFrame, *, seed: int = 17) -> DataFrame:
-    """Mix ``documents``-shaped rows by their ``source``: adds size, source_size, target, copies, taken."""
+    """Mix ``documents``-shaped rows by their ``source``: adds size, source_size, target, copies, taken, given (in place of columns named so)."""
     spark = docs.sparkSession
+    docs = docs.drop("size", "source_size", "target", "copies", "taken", "given")
     sized = docs.withColumn("size", word_count(F.col("text"))).withColumn("__members", F.array("source"))
     sizes, targets = source_targets(sized, "source", "size")
     mixed = mix(sized, targets, "__members", "size", "doc_id", seed=seed)

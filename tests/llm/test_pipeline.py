@@ -4,6 +4,7 @@ import random
 
 import public_tokenizers as P
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from terrace.llm import mixing, simhash
@@ -47,3 +48,13 @@ def test_stages_on_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
     assert docs.count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    names = ["score", "lang_pred", "lang_bits", "n_words", "n_removed", "removed_spans", "size", "copies", "target", "taken", "given", "source_size", "id", "h1", "bucket", "row", "c0", "__h1"]
+    wide = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, SMALL).cache()
+        assert out.columns == wide.columns and out.count() > 0
+        assert out.where(" OR ".join(f"`{n}` <> concat('{n}', cast(doc_id as string))" for n in names)).count() == 0
