@@ -1,7 +1,7 @@
 """Shared scratch tables: what cuts lineage is a Parquet table in the cluster's shared folder.
 
-The folder is the session's ``spark.checkpoint.dir``; only where that is unset (local tests) is a
-temporary folder made. Tables are removed when the Python session ends, or earlier with ``drop``.
+The folder is the session's ``spark.checkpoint.dir``; only where that is unset and the master is local (tests) is a
+temporary folder made: on a cluster it has to be set. Tables are removed when the Python session ends, or earlier with ``drop``.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as a URI without a trailing slash."""
     own = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not own:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         if not _TEMPORARY:
             _TEMPORARY.append("file://" + tempfile.mkdtemp(prefix="terrace-"))
         own = _TEMPORARY[0]
@@ -84,10 +86,21 @@ def hand_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def claim(owner: str) -> None:
+    """Forget what another operator has kept in this worker."""
+    if _OWN and _OWN.get("owner") != owner:
+        _OWN.clear()
+        gc.collect()
+        hand_back()
+    _OWN["owner"] = owner
+
+
 def tidy(kernel):
-    """A kernel over batches that hands memory back when its task ends."""
+    """A kernel over batches that drops what other operators have kept, and hands memory back when its task ends."""
+    owner = kernel.__module__
 
     def run(batches):
+        claim(owner)
         try:
             yield from kernel(batches)
         finally:
@@ -100,11 +113,12 @@ def worker_own(name, make):
     """What an operator keeps in its Python worker from task to task. A worker keeps one operator's at a time, so that the
     stages of a pipeline, which share workers, do not add up."""
     if name not in _OWN:
-        if _OWN:
+        owner = _OWN.get("owner")
+        if len(_OWN) > 1:
             _OWN.clear()
             gc.collect()
             hand_back()
-        _OWN[name] = make()
+        _OWN.update({"owner": owner, name: make()})
     return _OWN[name]
 
 

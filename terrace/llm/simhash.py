@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -411,15 +410,12 @@ def _sets(sides: DataFrame, marked: DataFrame, first: DataFrame, key: str, text:
     bitmap = np.zeros(BITMAP, np.int64)
     for word, bits in held.collect():  # BITMAP rows at most
         bitmap[word] = bits
-    bitmap = marked.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
-
-    @F.pandas_udf("boolean")
-    def maybe(h: pd.Series) -> pd.Series:
-        at = h.to_numpy() % (64 * BITMAP)
-        return pd.Series(bitmap.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) != 0)
+    # One row, looked up in the JVM: a Python function here would hold a second worker beside that of the kernel below.
+    bitmap = marked.sparkSession.createDataFrame([(bitmap.tolist(),)], "__bits array<long>")
+    maybe = F.expr(f"shiftrightunsigned(get(__bits, cast(shiftright(pmod(__h1, {64 * BITMAP}), 6) as int)), cast(pmod(__h1, 64) as int)) & 1") == 1
 
     ids = first.join(sides, (first.h1 == sides.s1) & (first.h2 == sides.s2), "left_semi").select("h1", "h2", F.col("id").alias("__id"))
-    some = marked.select("__h1", "__h2", F.col(key).alias("__own"), F.col(text).alias("__text")).where(maybe("__h1"))
+    some = marked.select("__h1", "__h2", F.col(key).alias("__own"), F.col(text).alias("__text")).join(F.broadcast(bitmap), maybe).drop("__bits")
     one = some.join(ids, (F.col("__h1") == F.col("h1")) & (F.col("__h2") == F.col("h2")) & F.col("__own").eqNullSafe(F.col("__id")))
     return one.select("h1", "h2", "__text").mapInArrow(tidy(_of_sets(shingle, make)), "s1 long, s2 long, held binary").dropDuplicates(["s1", "s2"])
 
