@@ -2,30 +2,47 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-#: Letters that lose their marks: built from the characters' own decompositions, so no table is kept here.
-_MARKED = [chr(c) for c in range(0xC0, 0x250) if len(d := unicodedata.normalize("NFKD", chr(c))) > 1 and d[0].isascii()]
+
+@functools.cache
+def _letters() -> tuple[str, str, dict[str, str]]:
+    """Lower-case characters beyond ASCII by what compatibility decomposition without combining marks leaves of them.
+
+    The first two strings are those that one plain letter or digit is left of, with these, and behind them the marks, which go; the
+    map has those that several characters with a letter or digit among them are left of. All others count as separators.
+    """
+    plain, to, marks, several = [], [], [], {}
+    for c in map(chr, (*range(0x80, 0xD800), *range(0xE000, 0x30000))):
+        left = "".join(x if re.fullmatch("[a-z0-9]", x) else " " for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if not left:
+            marks.append(c)
+        elif left.strip() and len(left) == 1:
+            plain.append(c)
+            to.append(left)
+        elif left.strip():
+            several[c] = left
+    return "".join(plain + marks), "".join(to), several
 
 
 def normalize_name(name: Column) -> Column:
-    """Lower case without diacritics, runs of other characters as one space, null if nothing is left."""
-    bare = F.translate(F.lower(F.trim(name)), "".join(c.lower() for c in _MARKED), "".join(unicodedata.normalize("NFKD", c)[0].lower() for c in _MARKED))
-    return F.nullif(F.trim(F.regexp_replace(bare, "[^a-z0-9]+", " ")), F.lit(""))
-
-
-@F.pandas_udf(StringType())
-def normalize_name_nfkd(names: pd.Series) -> pd.Series:
-    """The same for all of Unicode, by full compatibility decomposition."""
-    lowered = names.str.strip().str.lower()
-    bare = lowered.map(lambda s: "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c)), na_action="ignore")
-    out = bare.str.replace("[^a-z0-9]+", " ", regex=True).str.strip()
-    return out.where(out.str.len() > 0, None)
+    """Lower case without diacritics, runs of other characters than a-z and 0-9 as one space, null if nothing is left.
+
+    All of Unicode is decomposed by compatibility, in the JVM. ASCII names, by far the most, take no step of that.
+    """
+    plain, to, several = _letters()
+    lower = F.lower(name)
+    bare = F.translate(lower, plain, to)
+    spelled = F.str_to_map(F.lit("\x02".join(f"{k}\x01{v}" for k, v in several.items())), F.lit("\x02"), F.lit("\x01"))
+    longer = F.array_join(F.transform(F.split(bare, ""), lambda c: F.coalesce(F.try_element_at(spelled, c), c)), "")
+    some = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in several) + "]"
+    own = F.when(~lower.rlike(r"[^\x00-\x7F]"), lower).when(~bare.rlike(some), bare).otherwise(longer)
+    return F.nullif(F.trim(F.regexp_replace(own, "[^a-z0-9]+", " ")), F.lit(""))
 
 
 def brand(tags: Column) -> Column:

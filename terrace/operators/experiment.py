@@ -133,7 +133,7 @@ def pareto(objectives: DataFrame, ident: str, columns: list[str]) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(kept[:, k])) for k in range(len(columns))], names=columns)
 
     schema = ", ".join(f"`{c}` double" for c in columns)
-    best = points.mapInArrow(run, schema).coalesce(1).mapInArrow(run, schema).distinct().select(*[F.col(c).alias(f"b_{c}") for c in columns], F.lit(True).alias("__best"))
+    best = points.mapInArrow(run, schema).repartition(1).mapInArrow(run, schema).distinct().select(*[F.col(c).alias(f"b_{c}") for c in columns], F.lit(True).alias("__best"))
     on = F.lit(True)
     for c in columns:
         on = on & (F.col(c).cast("double") == F.col(f"b_{c}"))

@@ -15,7 +15,10 @@ def cut(df: DataFrame) -> DataFrame:
     """Cut lineage in the cluster's shared checkpoint folder; only where none is set (local work) a folder is made."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="terrace-"))
+        shared = context.getConf().get("spark.checkpoint.dir")
+        if not shared and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(shared or "file://" + tempfile.mkdtemp(prefix="terrace-"))
     return df.checkpoint()
 
 

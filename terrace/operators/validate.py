@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from terrace.functions.stats import adjusted_skewness
 from terrace.functions.status import ATOMIC, NORMALISED, OK
 
-#: Parts of column names that an output must not have: nothing that scores customers or journeys belongs here.
-FORBIDDEN = ["score", "segment", "trip", "origin", "destination", "customer"]
+#: Parts of column names that an output must not have.
+FORBIDDEN = ["customer", "trip", "pickup", "dropoff", "od_flow", "_score", "national_percentile", "segment"]
 
 
 def violations(features: dict[str, str], low: dict[str, float], high: dict[str, float], vocabulary: list[str] | None = None) -> dict[str, Column]:

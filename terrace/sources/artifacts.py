@@ -146,7 +146,9 @@ def derive_or_reuse(out: Path, parent: str, parameters: dict, produce: Callable[
 
 
 def markdown(df: DataFrame, limit: int = 200) -> str:
-    """A short table as text for reports."""
+    """A short table as text for reports; one of more rows than ``limit`` is refused, not cut."""
     shown = lambda v: "" if v is None else f"{v:.4g}" if isinstance(v, float) else str(v)
-    rows = [[shown(v) for v in r] for r in df.limit(limit).collect()]
+    rows = [[shown(v) for v in r] for r in df.limit(limit + 1).collect()]
+    if len(rows) > limit:
+        raise ValueError(f"over {limit} rows: summarise the table first")
     return "\n".join("| " + " | ".join(r) + " |" for r in [df.columns, ["---"] * len(df.columns), *rows])

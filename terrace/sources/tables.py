@@ -24,9 +24,9 @@ def overlaps(west: float, south: float, east: float, north: float, box: str = "b
     return (F.col(f"{box}.xmin") <= east) & (F.col(f"{box}.xmax") >= west) & (F.col(f"{box}.ymin") <= north) & (F.col(f"{box}.ymax") >= south)
 
 
-def scan_box(spark: SparkSession, path: str, box: tuple[float, float, float, float], columns: list[str], needed: list[str] = ()) -> DataFrame:
+def scan_box(table: DataFrame, box: tuple[float, float, float, float], columns: list[str], needed: list[str] = ()) -> DataFrame:
     """The wanted columns of a table's rows whose extent meets the box; whole geometries, not cut."""
-    return require(spark.read.parquet(path), [*needed, "bbox"]).where(overlaps(*box)).select(*columns)
+    return require(table, [*needed, "bbox"]).where(overlaps(*box)).select(*columns)
 
 
 def latest_release(listing: DataFrame, name: str = "release") -> DataFrame:

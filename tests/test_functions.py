@@ -1,3 +1,5 @@
+import re
+import unicodedata
 """Column functions on literal values."""
 
 import pytest
@@ -76,9 +78,18 @@ def test_spearman_with_ties(spark):
 
 
 def test_names(spark):
-    rows = spark.createDataFrame([("  Café  Nº1 ",), ("...",), (None,), ("Đà Nẵng",)], "n string")
-    assert [r[0] for r in rows.select(strings.normalize_name(F.col("n"))).collect()] == ["cafe n 1", None, None, "a n ng"]
-    assert [r[0] for r in rows.select(strings.normalize_name_nfkd("n")).collect()] == ["cafe no1", None, None, "a nang"]
+    want = {"  Café  Nº1 ": "cafe no1", "...": None, "Đà Nẵng": "a nang", "Bệnh viện Đà Nẵng": "benh vien a nang", "Phở Hạnh": "pho hanh", "ﬁne ½ Ⅷ": "fine 1 2 viii", "İÉe\u0301": "iee", "𝐚Ａ中 Ⅻ": "aa xii", "": None, "A-1": "a 1"}
+    rows = spark.createDataFrame([(n,) for n in [*want, None]], "n string")
+    assert [r[0] for r in rows.select(strings.normalize_name(F.col("n"))).collect()] == [*want.values(), None]
+
+
+def test_names_of_all_characters(spark):
+    """Every character between two letters, against the rule character by character."""
+    names = [f"a{chr(c)}b" for c in [*range(1, 0xD800), *range(0xE000, 0x30000)]]
+    got = [r[0] for r in spark.createDataFrame([(n,) for n in names], "n string").select(strings.normalize_name(F.col("n"))).collect()]
+    bare = ["".join(c for c in unicodedata.normalize("NFKD", n.lower()) if not unicodedata.combining(c)) for n in names]
+    want = [" ".join(re.findall("[a-z0-9]+", b)) for b in bare]
+    assert [(n, g, w) for n, g, w in zip(names, got, want) if g != (w or None)] == []
 
 
 def test_failures(spark):
