@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions.stats import relative_difference, spearman
@@ -92,6 +92,54 @@ def covered_lengths(a: DataFrame, b: DataFrame, step: float, buffer: float, iden
     return total.join(hit, ident, "left").select(ident, "length", F.coalesce("covered", F.lit(0.0)).alias("covered"))
 
 
+def buffered_lengths(a: DataFrame, b: DataFrame, buffer: float, size: float, ident: str = "way") -> DataFrame:
+    """By line of ``a``: its length and the part of it within ``buffer`` of any segment of ``b``, exactly.
+
+    The part of a segment within the buffer of another is one interval: a buffer of a segment (a rectangle and two disks) is convex.
+    Pairs meet in buckets of ``size``, each in the one that holds the lower corner of where they meet; intervals are then united.
+    """
+    near = b.select(*[F.col(c).alias(f"r_{c}") for c in ("ax", "ay", "bx", "by")]).distinct()
+    low = lambda p, v: F.least(F.col(f"{p}a{v}"), F.col(f"{p}b{v}"))
+    high = lambda p, v: F.greatest(F.col(f"{p}a{v}"), F.col(f"{p}b{v}"))
+    bucket = lambda c: F.floor(c / size).cast("long")
+    run = lambda p, v, more: F.explode(F.sequence(bucket(low(p, v) - more), bucket(high(p, v) + more)))
+    whole = F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2)
+    here = a.select(ident, "seq", "ax", "ay", "bx", "by", whole.alias("length")).where("length > 0")
+    met = here.withColumn("__i", run("", "x", 0.0)).withColumn("__j", run("", "y", 0.0)).join(near.withColumn("__i", run("r_", "x", buffer)).withColumn("__j", run("r_", "y", buffer)), ["__i", "__j"])
+    met = met.where((F.col("__i") == bucket(F.greatest(low("", "x"), low("r_", "x") - buffer))) & (F.col("__j") == bucket(F.greatest(low("", "y"), low("r_", "y") - buffer))))
+    dx, dy, ex, ey = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"), F.col("r_bx") - F.col("r_ax"), F.col("r_by") - F.col("r_ay")
+    ux, uy, square = F.col("ax") - F.col("r_ax"), F.col("ay") - F.col("r_ay"), F.col("length") * F.col("length")
+    far = ex * ex + ey * ey
+
+    def between(start: Column, slope: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
+        """Where a linear function lies between two values; from above to below if nowhere."""
+        flat = (start >= lo) & (start <= hi)
+        p, q = F.try_divide(lo - start, slope), F.try_divide(hi - start, slope)
+        return F.when(slope == 0, F.when(flat, 0.0).otherwise(2.0)).otherwise(F.least(p, q)), F.when(slope == 0, F.when(flat, 1.0).otherwise(-1.0)).otherwise(F.greatest(p, q))
+
+    def disk(x: Column, y: Column) -> tuple[Column, Column]:
+        half, room = -(x * dx + y * dy), (x * dx + y * dy) * (x * dx + y * dy) - square * (x * x + y * y - buffer * buffer)
+        root = F.when(room >= 0, F.sqrt(F.greatest(room, F.lit(0.0))))
+        return (half - root) / square, (half + root) / square
+
+    across, along = between(ux * ey - uy * ex, dx * ey - dy * ex, -buffer * F.sqrt(far), buffer * F.sqrt(far)), between(ux * ex + uy * ey, dx * ex + dy * ey, F.lit(0.0), far)
+    body = F.greatest(across[0], along[0]), F.least(across[1], along[1])
+    body = tuple(F.when((far > 0) & (body[0] <= body[1]), end) for end in body)
+    ends = [body, disk(ux, uy), disk(F.col("ax") - F.col("r_bx"), F.col("ay") - F.col("r_by"))]
+    cut = met.select(ident, "seq", "length", F.greatest(F.lit(0.0), F.least(*[e[0] for e in ends])).alias("t0"), F.least(F.lit(1.0), F.greatest(*[e[1] for e in ends])).alias("t1")).where("t0 < t1")
+    w = Window.partitionBy(ident, "seq").orderBy("t0", "t1").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = cut.withColumn("__n", F.greatest(F.lit(0.0), F.col("t1") - F.greatest("t0", F.coalesce(F.max("t1").over(w), F.lit(0.0)))))
+    hit = fresh.groupBy(ident).agg(F.sum(F.col("__n") * F.col("length")).alias("covered"))
+    total = here.groupBy(ident).agg(F.sum("length").alias("length"))
+    return total.join(hit, ident, "left").select(ident, "length", F.coalesce("covered", F.lit(0.0)).alias("covered"))
+
+
+def unmatched(lengths: DataFrame, ident: str, n: int, share: float = 0.5) -> DataFrame:
+    """The ``n`` lines with the most length that nothing covers, of those that are mostly uncovered."""
+    left = lengths.withColumn("open", F.round(F.col("length") - F.col("covered"), 4))
+    return left.where(F.col("open") > share * F.col("length")).orderBy(F.desc("open"), ident).limit(n)
+
+
 def pieces(segments: DataFrame, step: float) -> DataFrame:
     """Segments cut into equal pieces of at most ``step``: all columns, the piece ``k``, its middle ``x, y`` and its length."""
     whole = F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2)

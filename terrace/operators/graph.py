@@ -74,3 +74,8 @@ def component_lengths(edges: DataFrame, roots: DataFrame) -> DataFrame:
     sums = edges.join(roots, F.col("a") == F.col("node")).groupBy("root").agg(F.sum(length).alias("length"))
     total = sums.agg(F.sum("length").alias("total"))
     return sums.crossJoin(F.broadcast(total)).select("root", "length", F.try_divide("length", "total").alias("share"))  # one row
+
+
+def largest_components(lengths: DataFrame, n: int) -> DataFrame:
+    """The ``n`` longest components, ties to the smaller root."""
+    return lengths.orderBy(F.desc("length"), "root").limit(n)

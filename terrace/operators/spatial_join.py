@@ -46,6 +46,37 @@ def nearest(left: DataFrame, right: DataFrame, key: str, *, first: float, limit:
         rest, radius = rest.join(hit, key, "left_anti"), min(radius * 4, limit)
 
 
+def shape_distance(x: Column, y: Column) -> Column:
+    """Distance from a point to a shape ``line, ax, ay, bx, by``: a segment, or else a box (0 inside)."""
+    ax, ay, bx, by = (F.col(c) for c in ("ax", "ay", "bx", "by"))
+    dx, dy = bx - ax, by - ay
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide((x - ax) * dx + (y - ay) * dy, dx * dx + dy * dy), F.lit(0.0))))
+    px, py = x - (ax + t * dx), y - (ay + t * dy)
+    ox, oy = F.greatest(F.lit(0.0), ax - x, x - bx), F.greatest(F.lit(0.0), ay - y, y - by)
+    return F.when(F.col("line"), F.sqrt(px * px + py * py)).otherwise(F.sqrt(ox * ox + oy * oy))
+
+
+def nearest_shapes(points: DataFrame, shapes: DataFrame, keys: list[str], group: str, *, first: float) -> DataFrame:
+    """``keys, distance`` to the nearest shape of the same ``group``, for points that have one within their own ``radius``.
+
+    Rings widen fourfold; only points without a find whose radius reaches further go on. Shapes are dealt to the buckets of
+    their extents, widened by the ring.
+    """
+    limit = points.agg(F.max("radius")).first()[0] or 0.0
+    found, rest, ring = None, points.select(*keys, "x", "y", "radius"), first
+    extent = {"x": (F.least("ax", "bx"), F.greatest("ax", "bx")), "y": (F.least("ay", "by"), F.greatest("ay", "by"))}
+    while True:
+        run = lambda c, ring=ring: F.explode(F.sequence(_bucket(extent[c][0] - ring, ring), _bucket(extent[c][1] + ring, ring)))
+        dealt = shapes.withColumn("__bx", run("x")).withColumn("__by", run("y"))
+        here = rest.withColumn("__bx", _bucket(F.col("x"), ring)).withColumn("__by", _bucket(F.col("y"), ring))
+        measured = here.join(dealt, [group, "__bx", "__by"]).withColumn("distance", shape_distance(F.col("x"), F.col("y"))).where(F.col("distance") <= ring)
+        hit = measured.groupBy(*keys).agg(F.min("distance").alias("distance"))
+        found = hit if found is None else found.unionByName(hit)
+        if ring >= limit:
+            return found
+        rest, ring = rest.where(F.col("radius") > ring).join(hit, keys, "left_anti"), min(ring * 4, limit)
+
+
 def in_boxes(points: DataFrame, boxes: DataFrame, key: str, box: str, order: str, size: float) -> DataFrame:
     """``key, box``: the first box (by ``order``) that holds a point, edges included; null for none. Each point comes once."""
     spread = lambda lo, hi: F.explode(F.sequence(_bucket(F.col(lo), size), _bucket(F.col(hi), size)))

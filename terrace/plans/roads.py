@@ -85,12 +85,32 @@ SELECT a, count(*) AS edges, count(DISTINCT b) AS neighbours FROM segments WHERE
 
 
 def component_shares(spark: SparkSession, d: str) -> DataFrame:
-    """Length of each connected component of the road graph; SQL can't follow cycles at this size."""
+    """Length of each connected component of the road graph."""
     edges = _edges(spark, d)
     out = graph.component_lengths(edges, graph.components(edges))
     return out.select("root", F.round("length", 3).alias("length"), *rounded("share")).orderBy(F.desc("length"), "root")
 
 
+_SHARES = """
+WITH e AS (SELECT a, b FROM segments UNION SELECT b, a FROM segments),
+cc(node, root) USING KEY (node) AS (
+  SELECT DISTINCT a, a FROM e
+  UNION SELECT e.b, min(cc.root) FROM cc JOIN e ON cc.node = e.a JOIN recurring.cc AS old ON old.node = e.b WHERE cc.root < old.root GROUP BY e.b),
+l AS (SELECT root, sum(sqrt((bx - ax) * (bx - ax) + (b_y - ay) * (b_y - ay))) AS length FROM segments JOIN cc ON node = a GROUP BY root)
+SELECT root, round(length, 3) AS length, round(length / sum(length) OVER (), 6) AS share FROM l"""
+SHARES = with_layers("segments", _SHARES).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def largest_components(spark: SparkSession, d: str) -> DataFrame:
+    """The ten longest components of the graph of every fourth way's edges between nodes of equal rest."""
+    edges = _edges(spark, d).where("way % 4 = 0 AND a % 3 = b % 3")
+    out = graph.largest_components(graph.component_lengths(edges, graph.components(edges)), 10)
+    return out.select("root", F.round("length", 3).alias("length"), *rounded("share"))
+
+
+LARGEST = (with_layers("segments", "WITH part_of AS (SELECT * FROM segments WHERE way % 4 = 0 AND a % 3 = b % 3),\n" + _SHARES.strip()[5:].replace("segments", "part_of")) + " ORDER BY l.length DESC, root LIMIT 10").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def connector_edges(spark: SparkSession, d: str) -> DataFrame:
     """Edges of segments with connectors by their place along the segment."""
     at = F.struct((F.col("seq") / 8.0).alias("at"), F.col("node").cast("string").alias("connector_id"))
@@ -115,26 +135,51 @@ b AS (SELECT highway, regexp_replace(highway, '_link$', '') AS base FROM t)
 SELECT highway, base IN ({_DRIVE}) AS driveable, base IN ({_MAJOR}) AS major, highway LIKE '%\\_link' ESCAPE '\\' AS link, count(*) AS n FROM b GROUP BY ALL"""
 
 
-def line_match(spark: SparkSession, d: str) -> DataFrame:
-    """Length of major roads that has another source's road beside it, and the longest without: two line sets by pieces."""
+def _beside(spark: SparkSession, d: str) -> DataFrame:
+    """Major roads with the length that lies within 30.7 m of another source's roads (the others, moved by 20 m)."""
     edges = _edges(spark, d)
     a = edges.where("is_major").select("way", "seq", "ax", "ay", "bx", "by")
     b = edges.where("not is_major").select(*[(F.col(c) + 20).alias(c) for c in ("ax", "ay", "bx", "by")])
-    out = audit.covered_lengths(a, b, 100.0, 30.7).withColumn("open", F.round(F.col("length") - F.col("covered"), 4))
-    return out.groupBy((F.col("open") > F.round(0.5 * F.col("length"), 4)).alias("unmatched")).agg(F.count(F.lit(1)).alias("ways"), F.round(F.sum("length"), 2).alias("length"), F.round(F.max("open"), 2).alias("longest_open"))
+    return audit.buffered_lengths(a, b, 30.7, 500.0)
 
 
-def _pieces(where: str, shift: int) -> str:
-    return f"SELECT way, seq, k, ax + {shift} + (k + 0.5) / n * (bx - ax) AS x, ay + {shift} + (k + 0.5) / n * (b_y - ay) AS y, l / n AS length FROM (SELECT *, unnest(range(n)) AS k FROM (SELECT *, {_LENGTH} AS l, greatest(1, CAST(ceil({_LENGTH} / 100) AS INTEGER)) AS n FROM segments WHERE {where}))"
+def line_match(spark: SparkSession, d: str) -> DataFrame:
+    """Length of major roads by whether most of it lies beside another source's road, and the longest part without."""
+    out = _beside(spark, d).withColumn("open", F.round(F.col("length") - F.col("covered"), 4))
+    return out.groupBy((F.col("open") > F.round(0.5 * F.col("length"), 4)).alias("unmatched")).agg(F.count(F.lit(1)).alias("ways"), F.round(F.sum("length"), 2).alias("length"), F.round(F.max("open"), 2).alias("longest_open"))
 
 
-LINE_MATCH = with_layers("segments", f"""
-WITH a AS ({_pieces("is_major", 0)}), b AS (SELECT DISTINCT x, y FROM ({_pieces("NOT is_major", 20)})),
-bb AS (SELECT x, y, CAST(floor(x / 30.7) AS BIGINT) + i AS bx, CAST(floor(y / 30.7) AS BIGINT) + j AS by FROM b, range(-1, 2) t(i), range(-1, 2) u(j)),
-h AS (SELECT DISTINCT way, seq, k, length FROM a JOIN bb ON bb.bx = CAST(floor(a.x / 30.7) AS BIGINT) AND bb.by = CAST(floor(a.y / 30.7) AS BIGINT) AND (a.x - bb.x) * (a.x - bb.x) + (a.y - bb.y) * (a.y - bb.y) <= 30.7::DOUBLE * 30.7),
-s AS (SELECT way, sum(length) AS length FROM a GROUP BY way), c AS (SELECT way, sum(length) AS covered FROM h GROUP BY way),
-o AS (SELECT way, length, round(length - coalesce(covered, 0), 4) AS open FROM s LEFT JOIN c USING (way))
-SELECT open > round(0.5 * length, 4) AS unmatched, count(*) AS ways, round(sum(length), 2) AS length, round(max(open), 2) AS longest_open FROM o GROUP BY 1""")
+def unmatched_top(spark: SparkSession, d: str) -> DataFrame:
+    """The twenty roads with the most length that no other source's road covers."""
+    return audit.unmatched(_beside(spark, d), "way", 20).select("way", F.round("length", 2).alias("length"), F.round("open", 2).alias("open"))
+
+
+_LOW, _HIGH = "least({0}a{1}, {0}b{1})", "greatest({0}a{1}, {0}b{1})"
+_CELLS = lambda p, v, r: f"unnest(range(CAST(floor(({_LOW.format(p, v)} - {r}) / 500) AS BIGINT), CAST(floor(({_HIGH.format(p, v)} + {r}) / 500) AS BIGINT) + 1))"
+# A pair's interval, step by step: k is the pair, z its differences, l the strip and the ends, i the interval within the segment.
+_OPEN = f"""
+WITH s AS (SELECT way, seq, is_major, ax, ay, bx, b_y AS "by" FROM segments),
+a AS (SELECT *, sqrt((bx - ax) * (bx - ax) + ("by" - ay) * ("by" - ay)) AS len FROM s WHERE is_major),
+a0 AS (SELECT * FROM a WHERE len > 0), b AS (SELECT DISTINCT ax + 20 AS qax, ay + 20 AS qay, bx + 20 AS qbx, "by" + 20 AS qby FROM s WHERE NOT is_major),
+a1 AS (SELECT *, {_CELLS("", "x", 0)} AS i FROM a0), a2 AS (SELECT *, {_CELLS("", "y", 0)} AS j FROM a1), b1 AS (SELECT *, {_CELLS("q", "x", 30.7)} AS i FROM b), b2 AS (SELECT *, {_CELLS("q", "y", 30.7)} AS j FROM b1),
+k AS (SELECT DISTINCT way, seq, len, ax, ay, bx, "by", qax, qay, qbx, qby FROM a2 JOIN b2 USING (i, j)),
+z AS (SELECT way, seq, len, bx - ax AS dx, "by" - ay AS dy, qbx - qax AS ex, qby - qay AS ey, ax - qax AS ux, ay - qay AS uy, ax - qbx AS vx, ay - qby AS vy FROM k),
+c AS (SELECT *, ex * ex + ey * ey AS far, len * len AS sq, ux * ey - uy * ex AS c0, dx * ey - dy * ex AS c1, ux * ex + uy * ey AS p0, dx * ex + dy * ey AS p1, ux * dx + uy * dy AS hu, vx * dx + vy * dy AS hv FROM z),
+r AS (SELECT *, 30.7::DOUBLE * sqrt(far) AS wide, hu * hu - sq * (ux * ux + uy * uy - 30.7::DOUBLE * 30.7::DOUBLE) AS ru, hv * hv - sq * (vx * vx + vy * vy - 30.7::DOUBLE * 30.7::DOUBLE) AS rv FROM c),
+l AS (SELECT *,
+  CASE WHEN c1 = 0 THEN CASE WHEN abs(c0) <= wide THEN 0 ELSE 2 END ELSE least((-wide - c0) / c1, (wide - c0) / c1) END AS w0, CASE WHEN c1 = 0 THEN CASE WHEN abs(c0) <= wide THEN 1 ELSE -1 END ELSE greatest((-wide - c0) / c1, (wide - c0) / c1) END AS w1,
+  CASE WHEN p1 = 0 THEN CASE WHEN p0 BETWEEN 0 AND far THEN 0 ELSE 2 END ELSE least(-p0 / p1, (far - p0) / p1) END AS y0, CASE WHEN p1 = 0 THEN CASE WHEN p0 BETWEEN 0 AND far THEN 1 ELSE -1 END ELSE greatest(-p0 / p1, (far - p0) / p1) END AS y1 FROM r),
+m AS (SELECT *, far > 0 AND greatest(w0, y0) <= least(w1, y1) AS strip FROM l),
+i AS (SELECT way, seq, len,
+  greatest(0, least(CASE WHEN strip THEN greatest(w0, y0) END, CASE WHEN ru >= 0 THEN (-hu - sqrt(greatest(ru, 0))) / sq END, CASE WHEN rv >= 0 THEN (-hv - sqrt(greatest(rv, 0))) / sq END)) AS t0,
+  least(1, greatest(CASE WHEN strip THEN least(w1, y1) END, CASE WHEN ru >= 0 THEN (-hu + sqrt(greatest(ru, 0))) / sq END, CASE WHEN rv >= 0 THEN (-hv + sqrt(greatest(rv, 0))) / sq END)) AS t1
+  FROM m WHERE strip OR ru >= 0 OR rv >= 0),
+f AS (SELECT way, len * greatest(0, t1 - greatest(t0, coalesce(max(t1) OVER (PARTITION BY way, seq ORDER BY t0, t1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS own FROM i WHERE t0 < t1),
+t AS (SELECT way, sum(len) AS length FROM a0 GROUP BY way), h AS (SELECT way, sum(own) AS covered FROM f GROUP BY way),
+o AS (SELECT way, length, round(length - coalesce(covered, 0), 4) AS open FROM t LEFT JOIN h USING (way))
+"""
+LINE_MATCH = with_layers("segments", _OPEN + "SELECT open > round(0.5 * length, 4) AS unmatched, count(*) AS ways, round(sum(length), 2) AS length, round(max(open), 2) AS longest_open FROM o GROUP BY 1")
+UNMATCHED_TOP = with_layers("segments", _OPEN + "SELECT way, round(length, 2) AS length, round(open, 2) AS open FROM o WHERE open > 0.5 * length ORDER BY o.open DESC, way LIMIT 20")
 
 QUERIES = {
     "clipped_length": (clipped_length, CLIPPED),
@@ -142,8 +187,10 @@ QUERIES = {
     "length_by_class": (length_by_class, LENGTH_BY_CLASS),
     "intersections": (intersections, INTERSECTIONS),
     "induced_subgraph": (induced_subgraph, INDUCED),
-    "component_shares": (component_shares, None),
+    "component_shares": (component_shares, SHARES),
+    "largest_components": (largest_components, LARGEST),
     "connector_edges": (connector_edges, CONNECTORS),
     "road_class": (road_class, ROAD_CLASS),
     "line_match": (line_match, LINE_MATCH),
+    "unmatched_top": (unmatched_top, UNMATCHED_TOP),
 }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from terrace.plans import contract, normalised, places, rasters, roads, things, trials
+from terrace.plans import atomic, contract, mapped, normalised, places, rasters, roads, things, trials
 
-_ALL = {k: v for plan in (places, rasters, roads, things, normalised, trials, contract) for k, v in plan.QUERIES.items()}
+_ALL = {k: v for plan in (places, rasters, roads, things, normalised, trials, contract, atomic, mapped) for k, v in plan.QUERIES.items()}
 
 QUERIES: dict = {k: query for k, (query, _) in _ALL.items()}
 #: Queries without SQL are tested against brute force.
