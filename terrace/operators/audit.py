@@ -107,26 +107,29 @@ def buffered_lengths(a: DataFrame, b: DataFrame, buffer: float, size: float, ide
     here = a.select(ident, "seq", "ax", "ay", "bx", "by", whole.alias("length")).where("length > 0")
     met = here.withColumn("__i", run("", "x", 0.0)).withColumn("__j", run("", "y", 0.0)).join(near.withColumn("__i", run("r_", "x", buffer)).withColumn("__j", run("r_", "y", buffer)), ["__i", "__j"])
     met = met.where((F.col("__i") == bucket(F.greatest(low("", "x"), low("r_", "x") - buffer))) & (F.col("__j") == bucket(F.greatest(low("", "y"), low("r_", "y") - buffer))))
-    dx, dy, ex, ey = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"), F.col("r_bx") - F.col("r_ax"), F.col("r_by") - F.col("r_ay")
-    ux, uy, square = F.col("ax") - F.col("r_ax"), F.col("ay") - F.col("r_ay"), F.col("length") * F.col("length")
-    far = ex * ex + ey * ey
-
-    def between(start: Column, slope: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
+    c, square = F.col, F.col("length") * F.col("length")
+    # In steps, so that no expression is written out again in the next one.
+    met = met.select(ident, "seq", "length", *[(c(p) - c(q)).alias(n) for n, p, q in (
+        ("dx", "bx", "ax"), ("dy", "by", "ay"), ("ex", "r_bx", "r_ax"), ("ey", "r_by", "r_ay"), ("ux", "ax", "r_ax"), ("uy", "ay", "r_ay"), ("vx", "ax", "r_bx"), ("vy", "ay", "r_by"))])
+    dot = lambda x, y, z, w: c(x) * c(z) + c(y) * c(w)
+    met = met.select("*", dot("ex", "ey", "ex", "ey").alias("far"), (c("ux") * c("ey") - c("uy") * c("ex")).alias("c0"), (c("dx") * c("ey") - c("dy") * c("ex")).alias("c1"),
+                     dot("ux", "uy", "ex", "ey").alias("p0"), dot("dx", "dy", "ex", "ey").alias("p1"), dot("ux", "uy", "dx", "dy").alias("hu"), dot("vx", "vy", "dx", "dy").alias("hv"))
+    room = lambda h, x, y: c(h) * c(h) - square * (dot(x, y, x, y) - buffer * buffer)
+    root = lambda r: F.when(r >= 0, F.sqrt(r))
+    met = met.select(ident, "seq", "length", "far", "c0", "c1", "p0", "p1", "hu", "hv", (buffer * F.sqrt("far")).alias("wide"), root(room("hu", "ux", "uy")).alias("ru"), root(room("hv", "vx", "vy")).alias("rv"))
+
+    def between(start: str, slope: str, lo: Column, hi: Column) -> tuple[Column, Column]:
         """Where a linear function lies between two values; from above to below if nowhere."""
-        flat = (start >= lo) & (start <= hi)
-        p, q = F.try_divide(lo - start, slope), F.try_divide(hi - start, slope)
-        return F.when(slope == 0, F.when(flat, 0.0).otherwise(2.0)).otherwise(F.least(p, q)), F.when(slope == 0, F.when(flat, 1.0).otherwise(-1.0)).otherwise(F.greatest(p, q))
-
-    def disk(x: Column, y: Column) -> tuple[Column, Column]:
-        half, room = -(x * dx + y * dy), (x * dx + y * dy) * (x * dx + y * dy) - square * (x * x + y * y - buffer * buffer)
-        root = F.when(room >= 0, F.sqrt(F.greatest(room, F.lit(0.0))))
-        return (half - root) / square, (half + root) / square
-
-    across, along = between(ux * ey - uy * ex, dx * ey - dy * ex, -buffer * F.sqrt(far), buffer * F.sqrt(far)), between(ux * ex + uy * ey, dx * ex + dy * ey, F.lit(0.0), far)
-    body = F.greatest(across[0], along[0]), F.least(across[1], along[1])
-    body = tuple(F.when((far > 0) & (body[0] <= body[1]), end) for end in body)
-    ends = [body, disk(ux, uy), disk(F.col("ax") - F.col("r_bx"), F.col("ay") - F.col("r_by"))]
-    cut = met.select(ident, "seq", "length", F.greatest(F.lit(0.0), F.least(*[e[0] for e in ends])).alias("t0"), F.least(F.lit(1.0), F.greatest(*[e[1] for e in ends])).alias("t1")).where("t0 < t1")
+        flat, p, q = (c(start) >= lo) & (c(start) <= hi), F.try_divide(lo - c(start), c(slope)), F.try_divide(hi - c(start), c(slope))
+        return F.when(c(slope) == 0, F.when(flat, 0.0).otherwise(2.0)).otherwise(F.least(p, q)), F.when(c(slope) == 0, F.when(flat, 1.0).otherwise(-1.0)).otherwise(F.greatest(p, q))
+
+    across, along = between("c0", "c1", -c("wide"), c("wide")), between("p0", "p1", F.lit(0.0), c("far"))
+    met = met.withColumns({"s0": F.greatest(across[0], along[0]), "s1": F.least(across[1], along[1])})
+    strip = (c("far") > 0) & (c("s0") <= c("s1"))
+    ends = [(F.when(strip, c("s0")), F.when(strip, c("s1")))] + [((-c(h) - c(r)) / square, (-c(h) + c(r)) / square) for h, r in (("hu", "ru"), ("hv", "rv"))]
+    first, last = F.least(*[e[0] for e in ends]), F.greatest(*[e[1] for e in ends])  # null if nothing meets
+    cut = met.select(ident, "seq", "length", first.alias("t0"), last.alias("t1")).where("t0 IS NOT NULL")
+    cut = cut.withColumns({"t0": F.greatest(F.lit(0.0), F.col("t0")), "t1": F.least(F.lit(1.0), F.col("t1"))}).where("t0 < t1")
     w = Window.partitionBy(ident, "seq").orderBy("t0", "t1").rowsBetween(Window.unboundedPreceding, -1)
     fresh = cut.withColumn("__n", F.greatest(F.lit(0.0), F.col("t1") - F.greatest("t0", F.coalesce(F.max("t1").over(w), F.lit(0.0)))))
     hit = fresh.groupBy(ident).agg(F.sum(F.col("__n") * F.col("length")).alias("covered"))

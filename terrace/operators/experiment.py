@@ -168,3 +168,42 @@ def hash_sample(rows: DataFrame, by: list[str], ident: Column, n: int, seed: str
     """The same ``n`` rows of every group each time: those of smallest seeded hash."""
     order = F.md5(F.concat(F.lit(seed), ident.cast("string")))
     return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*by).orderBy(order))).where(F.col("__r") <= n).drop("__r")
+
+
+def by_resolution(ident: Column) -> list[Column]:
+    """Order of candidates by the number that their name ends with after ``_r`` (0 without one), then by name."""
+    return [F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(ident, "_r([0-9]+)", 1), F.lit("")), F.lit("999999999")), F.lit(0)), ident]
+
+
+def ring_completeness(units: DataFrame, inside: Column, complete: Column) -> DataFrame:
+    """Cells inside the area and on its edge, cells whose ring is complete, and the share of these in either; null without such cells."""
+    flag = lambda c: F.coalesce(c, F.lit(False))
+    own, ring = flag(inside), flag(complete).cast("double")
+    return units.agg(
+        F.count(F.lit(1)).alias("cells"), F.count_if(own).alias("interior"), F.count_if(~own).alias("edge"), F.count_if(flag(complete)).alias("complete"),
+        F.avg(F.when(own, ring)).alias("share_interior"), F.avg(F.when(~own, ring)).alias("share_edge"),
+    )
+
+
+def windows_inside(windows: DataFrame, extents: DataFrame, ident: str, size: float, tolerance: float = 0.0) -> DataFrame:
+    """``ident, inside``: whether a window, drawn in by the tolerance, lies in the union of the extents; not if there are none.
+
+    The edges of the extents that a window meets cut it into boxes; it is inside if each box's middle is in some extent. Both sides
+    are dealt to buckets of ``size``, so a window meets the extents around it only.
+    """
+    run = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / size).cast("long"), F.floor(F.col(hi) / size).cast("long")))
+    bare = windows.select(ident, *[(F.col(c) + F.lit(s * tolerance)).alias(c) for c, s in (("x0", 1), ("y0", 1), ("x1", -1), ("y1", -1))])
+    dealt = extents.select(*[F.col(c).alias(f"e_{c}") for c in ("x0", "y0", "x1", "y1")]).withColumn("__i", run("e_x0", "e_x1")).withColumn("__j", run("e_y0", "e_y1"))
+    near = bare.withColumn("__i", run("x0", "x1")).withColumn("__j", run("y0", "y1")).join(dealt, ["__i", "__j"])
+    near = near.where("e_x0 <= x1 AND e_x1 >= x0 AND e_y0 <= y1 AND e_y1 >= y0").drop("__i", "__j")
+    boxes = near.groupBy(ident, "x0", "y0", "x1", "y1").agg(F.collect_set(F.struct("e_x0", "e_y0", "e_x1", "e_y1")).alias("e"))
+
+    def cuts(v: str) -> Column:
+        lo, hi = F.col(f"{v}0"), F.col(f"{v}1")
+        inner = F.filter(F.flatten(F.transform("e", lambda e: F.array(e[f"e_{v}0"], e[f"e_{v}1"]))), lambda c: (c > lo) & (c < hi))
+        marks = F.array_sort(F.array_distinct(F.concat(F.array(lo, hi), inner)))
+        return F.zip_with(F.slice(marks, F.lit(1), F.greatest(F.size(marks) - 1, F.lit(1))), F.slice(marks, F.lit(2), F.greatest(F.size(marks) - 1, F.lit(1))), lambda a, b: (a + F.coalesce(b, a)) / 2)
+
+    held = lambda x, y: F.exists("e", lambda e: (e["e_x0"] <= x) & (e["e_x1"] >= x) & (e["e_y0"] <= y) & (e["e_y1"] >= y))
+    sure = boxes.select(ident, F.forall(cuts("x"), lambda x: F.forall(cuts("y"), lambda y: held(x, y))).alias("inside"))
+    return windows.select(ident).join(sure, ident, "left").select(ident, F.coalesce("inside", F.lit(False)).alias("inside"))

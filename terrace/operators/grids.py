@@ -149,3 +149,10 @@ def unit_samples(units: DataFrame, ident: str, size: float) -> DataFrame:
     places = F.array(*[F.struct(F.lit(u).alias("u"), F.lit(v).alias("v")) for u, v in ((0.0, 0.0), (-0.25, -0.25), (-0.25, 0.25), (0.25, -0.25), (0.25, 0.25))])
     dealt = units.withColumn("p", F.explode(places))
     return dealt.select(ident, (F.col("rep_x") + F.col("p.u") * size).alias("x"), (F.col("rep_y") + F.col("p.v") * size).alias("y"))
+
+
+def reference_grid(x0: float, y0: float, x1: float, y1: float, cell: float, pad: float) -> dict:
+    """The grid of cells, aligned to whole multiples, that covers a box with a margin: its lower corner and its cells a side."""
+    corner = [math.floor((v - pad) / cell) * cell for v in (x0, y0)]
+    n = [math.ceil((v + pad - lo) / cell) for v, lo in zip((x1, y1), corner)]
+    return {"x0": corner[0], "y0": corner[1], "nx": n[0], "ny": n[1], "cell": cell}

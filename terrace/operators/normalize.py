@@ -60,6 +60,11 @@ def fit_ecdf(rows: DataFrame, cohort: list[str], value: str = "value", status: s
     return table.select(*cohort, *[F.when(fitted, F.col(c)).alias(c) for c in ("value", "w_equal", "w_below", "w_total")], "n_obs", "fit_status")
 
 
+def fit_summary(table: DataFrame, cohort: list[str]) -> DataFrame:
+    """One row for each cohort of a fitted table: its status, rows, different values and total weight."""
+    return table.groupBy(*cohort).agg(F.max("fit_status").alias("fit_status"), F.max("n_obs").alias("n_obs"), F.count("value").alias("n_distinct"), F.max("w_total").alias("weight_total"))
+
+
 def percentile_of(below: Column, equal: Column, total: Column, method: str) -> Column:
     """Share of the cohort below a value: ties with half, none or all of their weight."""
     part = {"midrank": equal / 2, "min": F.lit(0.0), "max": equal}[method]

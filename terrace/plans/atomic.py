@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.functions import strings
-from terrace.operators import atomic, features, graph
+from terrace.functions import grid, strings
+from terrace.operators import atomic, experiment, features, graph, normalize
+from terrace.plans import normalised
 from terrace.plans.roads import _CLIPPED
 from terrace.sources import layers
 from terrace.sources.layers import with_layers
@@ -167,7 +168,70 @@ def release_listing(spark: SparkSession, d: str) -> DataFrame:
 
 RELEASES = "SELECT s_nationkey, max('20' || (s_suppkey % 7 + 20) || '-0' || (s_suppkey % 9 + 1) || '-1' || (s_suppkey % 10) || '.' || (s_suppkey % 3)) AS latest FROM supplier GROUP BY 1"
 
+def window_cover(spark: SparkSession, d: str) -> DataFrame:
+    """Windows of 6 by 6 degrees, each held against the tiles of 5 degrees that are there."""
+    n, i = F.col("s_suppkey"), F.col("id")
+    x, y = (n * 7919 % 3400 / 10.0 - 170).cast("double"), (n * 104_729 % 1500 / 10.0 - 75).cast("double")
+    windows = layers.read(spark, d, "supplier").select(n.alias("window"), x.alias("x0"), y.alias("y0"), (x + 6).alias("x1"), (y + 6).alias("y1"))
+    lon, lat = (i % 72 * 5 - 180).cast("double"), (F.floor(i / 72) * 5 - 90).cast("double")
+    tiles = spark.range(72 * 36).where("id % 11 <> 0").select(lon.alias("x0"), lat.alias("y0"), (lon + 5).alias("x1"), (lat + 5).alias("y1"))
+    return experiment.windows_inside(windows, tiles, "window", 5.0, 0.01)
+
+
+WINDOW_COVER = """
+WITH w AS (SELECT s_suppkey AS "window", CAST(s_suppkey * 7919 % 3400 AS DOUBLE) / 10 - 170 AS x, CAST(s_suppkey * 104729 % 1500 AS DOUBLE) / 10 - 75 AS y FROM supplier),
+a AS (SELECT "window", y, unnest(range(CAST(floor((x + 0.01 + 180) / 5) AS BIGINT), CAST(ceil((x + 5.99 + 180) / 5) AS BIGINT))) AS i FROM w),
+b AS (SELECT "window", i, unnest(range(CAST(floor((y + 0.01 + 90) / 5) AS BIGINT), CAST(ceil((y + 5.99 + 90) / 5) AS BIGINT))) AS j FROM a)
+SELECT "window", bool_and(i < 72 AND j < 36 AND (j * 72 + i) % 11 <> 0) AS inside FROM b GROUP BY 1"""
+
+
+def ring_completeness(spark: SparkSession, d: str) -> DataFrame:
+    """Units whose eight neighbours all have places, inside the square and on its edge."""
+    units, filled = layers.units(spark), layers.pois(spark, d).select(F.floor(F.col("x") / 1000).cast("long").alias("col"), F.floor(F.col("y") / 1000).cast("long").alias("row")).distinct()
+    there = units.join(filled, ["col", "row"], "left_semi")
+    pairs = grid.neighbours(units, "unit_id", "col", "row", grid.square_ring(1)).join(there.select(F.col("unit_id").alias("neighbour")), "neighbour", "left_semi")
+    found = units.join(pairs.groupBy("unit_id").agg(F.count(F.lit(1)).alias("n")), "unit_id", "left")
+    inner = F.col("col").between(1, 18) & F.col("row").between(1, 18)
+    sums = experiment.ring_completeness(found, inner, F.col("n") == F.when(inner, 8).when(F.col("col").isin(0, 19) & F.col("row").isin(0, 19), 3).otherwise(5))
+    return sums.withColumns({c: F.round(c, 6) for c in ("share_interior", "share_edge")})
+
+
+RING_COMPLETENESS = with_layers("pois units", """
+WITH f AS (SELECT DISTINCT CAST(floor(x / 1000) AS BIGINT) AS col, CAST(floor(y / 1000) AS BIGINT) AS row FROM pois),
+n AS (SELECT u.unit_id, u.col BETWEEN 1 AND 18 AND u.row BETWEEN 1 AND 18 AS own, count(f.col) = any_value((least(u.col + 1, 19) - greatest(u.col - 1, 0) + 1) * (least(u.row + 1, 19) - greatest(u.row - 1, 0) + 1) - 1) AS ok
+      FROM units u LEFT JOIN f ON abs(f.col - u.col) <= 1 AND abs(f.row - u.row) <= 1 AND (f.col <> u.col OR f.row <> u.row) GROUP BY ALL)
+SELECT count(*) AS cells, count(*) FILTER (own) AS interior, count(*) FILTER (NOT own) AS edge, count(*) FILTER (ok) AS complete, round(avg(ok::INTEGER) FILTER (own), 6) AS share_interior, round(avg(ok::INTEGER) FILTER (NOT own), 6) AS share_edge FROM n""")
+
+
+def fit_summary(spark: SparkSession, d: str) -> DataFrame:
+    """What was fitted, by area, in order of the areas' numbers."""
+    table = normalize.fit_ecdf(normalised.atomic(spark, d), ["area"])
+    return normalize.fit_summary(table, ["area"])
+
+
+FIT_SUMMARY = normalised.ATOMIC + """
+SELECT area, CASE WHEN count(*) < 30 THEN 'cohort_too_small' WHEN count(DISTINCT value) < 2 THEN 'cohort_degenerate' ELSE 'fitted' END AS fit_status, count(*) AS n_obs,
+  CASE WHEN count(*) >= 30 AND count(DISTINCT value) >= 2 THEN count(DISTINCT value) ELSE 0 END AS n_distinct, CASE WHEN count(*) >= 30 AND count(DISTINCT value) >= 2 THEN CAST(count(*) AS DOUBLE) END AS weight_total
+FROM a WHERE status = 'ok' GROUP BY area"""
+
+
+def candidate_order(spark: SparkSession, d: str) -> DataFrame:
+    """Places of candidates in order of the number in their names."""
+    from pyspark.sql import Window
+
+    named = layers.read(spark, d, "nation").select(F.concat(F.lit("grid"), F.when(F.col("n_nationkey") % 6 != 0, F.concat(F.lit("_r"), (F.col("n_nationkey") % 13).cast("string"))).otherwise(F.col("n_nationkey").cast("string"))).alias("candidate")).distinct()
+    return named.select("candidate", F.row_number().over(Window.orderBy(*experiment.by_resolution(F.col("candidate")))).alias("place"))  # as many rows as candidates
+
+
+CANDIDATES = """
+WITH c AS (SELECT DISTINCT 'grid' || CASE WHEN n_nationkey % 6 <> 0 THEN '_r' || (n_nationkey % 13) ELSE CAST(n_nationkey AS VARCHAR) END AS candidate FROM nation)
+SELECT candidate, CAST(row_number() OVER (ORDER BY coalesce(CAST(nullif(regexp_extract(candidate, '_r([0-9]+)', 1), '') AS INTEGER), 0), candidate) AS INTEGER) AS place FROM c"""
+
 QUERIES = {
+    "window_cover": (window_cover, WINDOW_COVER),
+    "ring_completeness": (ring_completeness, RING_COMPLETENESS),
+    "fit_summary": (fit_summary, FIT_SUMMARY),
+    "candidate_order": (candidate_order, CANDIDATES),
     "atomic_features": (atomic_features, _sql()),
     "park_shapes": (park_shapes, PARKS),
     "json_columns": (json_columns, JSON),

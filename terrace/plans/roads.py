@@ -154,16 +154,15 @@ def unmatched_top(spark: SparkSession, d: str) -> DataFrame:
     return audit.unmatched(_beside(spark, d), "way", 20).select("way", F.round("length", 2).alias("length"), F.round("open", 2).alias("open"))
 
 
-_LOW, _HIGH = "least({0}a{1}, {0}b{1})", "greatest({0}a{1}, {0}b{1})"
-_CELLS = lambda p, v, r: f"unnest(range(CAST(floor(({_LOW.format(p, v)} - {r}) / 500) AS BIGINT), CAST(floor(({_HIGH.format(p, v)} + {r}) / 500) AS BIGINT) + 1))"
+_CELLS = lambda a, b, r: f"unnest(range(CAST(floor((least({a}, {b}) - {r}) / 500) AS BIGINT), CAST(floor((greatest({a}, {b}) + {r}) / 500) AS BIGINT) + 1))"
 # A pair's interval, step by step: k is the pair, z its differences, l the strip and the ends, i the interval within the segment.
 _OPEN = f"""
-WITH s AS (SELECT way, seq, is_major, ax, ay, bx, b_y AS "by" FROM segments),
-a AS (SELECT *, sqrt((bx - ax) * (bx - ax) + ("by" - ay) * ("by" - ay)) AS len FROM s WHERE is_major),
-a0 AS (SELECT * FROM a WHERE len > 0), b AS (SELECT DISTINCT ax + 20 AS qax, ay + 20 AS qay, bx + 20 AS qbx, "by" + 20 AS qby FROM s WHERE NOT is_major),
-a1 AS (SELECT *, {_CELLS("", "x", 0)} AS i FROM a0), a2 AS (SELECT *, {_CELLS("", "y", 0)} AS j FROM a1), b1 AS (SELECT *, {_CELLS("q", "x", 30.7)} AS i FROM b), b2 AS (SELECT *, {_CELLS("q", "y", 30.7)} AS j FROM b1),
-k AS (SELECT DISTINCT way, seq, len, ax, ay, bx, "by", qax, qay, qbx, qby FROM a2 JOIN b2 USING (i, j)),
-z AS (SELECT way, seq, len, bx - ax AS dx, "by" - ay AS dy, qbx - qax AS ex, qby - qay AS ey, ax - qax AS ux, ay - qay AS uy, ax - qbx AS vx, ay - qby AS vy FROM k),
+WITH s AS (SELECT way, seq, is_major, ax, ay, bx, b_y FROM segments),
+a AS (SELECT *, sqrt((bx - ax) * (bx - ax) + (b_y - ay) * (b_y - ay)) AS len FROM s WHERE is_major),
+a0 AS (SELECT * FROM a WHERE len > 0), b AS (SELECT DISTINCT ax + 20 AS qax, ay + 20 AS qay, bx + 20 AS qbx, b_y + 20 AS qby FROM s WHERE NOT is_major),
+a1 AS (SELECT *, {_CELLS('ax', 'bx', 0)} AS i FROM a0), a2 AS (SELECT *, {_CELLS('ay', 'b_y', 0)} AS j FROM a1), b1 AS (SELECT *, {_CELLS('qax', 'qbx', 30.7)} AS i FROM b), b2 AS (SELECT *, {_CELLS('qay', 'qby', 30.7)} AS j FROM b1),
+k AS (SELECT DISTINCT way, seq, len, ax, ay, bx, b_y, qax, qay, qbx, qby FROM a2 JOIN b2 USING (i, j)),
+z AS (SELECT way, seq, len, bx - ax AS dx, b_y - ay AS dy, qbx - qax AS ex, qby - qay AS ey, ax - qax AS ux, ay - qay AS uy, ax - qbx AS vx, ay - qby AS vy FROM k),
 c AS (SELECT *, ex * ex + ey * ey AS far, len * len AS sq, ux * ey - uy * ex AS c0, dx * ey - dy * ex AS c1, ux * ex + uy * ey AS p0, dx * ex + dy * ey AS p1, ux * dx + uy * dy AS hu, vx * dx + vy * dy AS hv FROM z),
 r AS (SELECT *, 30.7::DOUBLE * sqrt(far) AS wide, hu * hu - sq * (ux * ux + uy * uy - 30.7::DOUBLE * 30.7::DOUBLE) AS ru, hv * hv - sq * (vx * vx + vy * vy - 30.7::DOUBLE * 30.7::DOUBLE) AS rv FROM c),
 l AS (SELECT *,
