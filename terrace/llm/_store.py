@@ -18,8 +18,8 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows of one Arrow batch: documents can be long, so batches are kept short.
-ARROW_ROWS = 1024
+#: Rows and bytes of one Arrow batch: documents can be long, so batches are kept short.
+ARROW_ROWS, ARROW_BYTES = 1024, 4 << 20
 #: The folder that holds this package.
 HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -49,6 +49,7 @@ def small_batches(spark: SparkSession) -> None:
     if HOME not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def hadoop_path(spark: SparkSession, path: str):
