@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from terrace.llm._store import Scratch, hand_back, release_shuffles, small_batches, tidy, worker_own
+from terrace.llm._store import Scratch, claim, hand_back, release_shuffles, small_batches, tidy, worker_own
 
 #: Words of a window, and of the short and the middle prefix.
 WINDOW, SHORT, MIDDLE = 20, 1, 3
@@ -219,6 +219,7 @@ def _subtree(count: int, buckets: int):
     """
 
     def run(table: pa.Table) -> pa.Table:
+        claim("subtrees")  # hashed words are of no use here
         cols = [[x.as_buffer() for x in table.column(n)] for n in RECORD]
         if table.column("group")[0].as_py() >= count:
             known = [_unpacked(*x) for x in zip(*cols[1:])]
@@ -262,6 +263,7 @@ def _apply(schema: pa.Schema, text: int, joined: bool):
     """Take covered words out of the texts of one bucket."""
 
     def run(docs: pa.Table, covered: pa.Table) -> pa.Table:
+        claim("subtrees")
         at: dict[int, list] = {}
         for row in zip(*(covered.column(n).to_pylist() for n in ("ids", "sizes", "starts"))):
             ids, start = _unpacked(*row)
