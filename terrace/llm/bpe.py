@@ -33,7 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from terrace.llm._store import ARROW_ROWS, small_batches, tidy, worker_own
 
 #: Distinct pieces that a worker keeps, and the bytes from which a piece is long (a position takes ten bits of a row's key).
-CACHE, LONG = 400_000, 1024
+CACHE, LONG = 250_000, 1024
 #: New pieces after which a query is worth its cost, pieces of texts that wait for it, and bytes of the pieces of one query.
 FRESH, HELD, QUERY_BYTES = 40_000, 2_000_000, 400_000
 #: Megabytes that DuckDB may take.
