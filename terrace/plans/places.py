@@ -251,11 +251,11 @@ SELECT shape, count(*) AS n, min(poi_id) AS first FROM s WHERE (e1 >= 0 AND e2 >
 
 
 def polygon_cells(spark: SparkSession, d: str) -> DataFrame:
-    """Triangles cut at cells of 300 m: their pieces hold the triangle's area together."""
-    cut = polygons.cell_overlaps(_triangles(spark, d), "shape", 300.0)
-    whole = _triangles(spark, d).select("shape", geometry.area(F.col("ring")).alias("whole"))
-    sums = cut.groupBy("shape").agg(F.sum("area").alias("area"), F.max("area").alias("largest")).join(whole, "shape")
-    return sums.select("shape", F.round("area", 3).alias("area"), (F.abs(F.col("area") - F.col("whole")) < 1e-3).alias("conserved"), (F.col("largest") <= 90_000.001).alias("fits"))
+    """Triangles cut at cells of 300 m: their pieces hold the triangle's area together. One without area has no piece, and sums of 0."""
+    shapes = _triangles(spark, d)
+    sums = polygons.cell_overlaps(shapes.distinct(), "shape", 300.0).groupBy("shape").agg(F.sum("area").alias("area"), F.max("area").alias("largest"))
+    every = shapes.select("shape", geometry.area(F.col("ring")).alias("whole")).join(sums, "shape", "left").fillna(0.0, ["area", "largest"])
+    return every.select("shape", F.round("area", 3).alias("area"), (F.abs(F.col("area") - F.col("whole")) < 1e-3).alias("conserved"), (F.col("largest") <= 90_000.001).alias("fits"))
 
 
 POLYGON_CELLS = "WITH " + _TRIANGLES + " SELECT shape, round(abs((bx - ax) * (cy - ay) - (b_y - ay) * (cx - ax)) / 2, 3) AS area, true AS conserved, true AS fits FROM t"
