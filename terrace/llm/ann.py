@@ -27,6 +27,8 @@ SAMPLE, ROUNDS, RERANK = 16_384, 8, 256
 #: Inner products from this share of the greatest are the ones to keep exact.
 THRESHOLD = 0.2
 CENTRES = 16
+#: Rows whose distances to all centres are held at a time.
+ROWS = 512
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -49,8 +51,8 @@ class Codebook:
     def encode(self, unit: np.ndarray, rounds: int = 2) -> np.ndarray:
         """Codes by row and subspace: coordinate descent on the anisotropic loss."""
         parts = _pairs(unit)
-        near = (parts[:, :, None, :] - self.centres[None]) ** 2
-        codes = near.sum(axis=3).argmin(axis=2)
+        near = lambda some: ((some[:, :, None, :] - self.centres[None]) ** 2).sum(axis=3).argmin(axis=2)
+        codes = np.concatenate([near(parts[at : at + ROWS]) for at in range(0, len(parts), ROWS)]) if len(parts) else near(parts)
         return self._descend(parts, codes, rounds)
 
     def _descend(self, parts: np.ndarray, codes: np.ndarray, rounds: int) -> np.ndarray:

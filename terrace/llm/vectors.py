@@ -37,10 +37,14 @@ def packed(rows: DataFrame, size: int, name: str, n: int) -> DataFrame:
 
 
 def meetings(shards: DataFrame, queries: DataFrame, n_shards: int) -> DataFrame:
-    """Each shard with each block of queries of its dimension."""
+    """Each shard with each block of queries of its dimension.
+
+    Blocks are copied for every shard behind the exchange whose size Spark knows, so it would take many for few, send all copies
+    to the driver and broadcast them: the join is bound to be a merge, whatever the thresholds say.
+    """
     blocks = queries.select(F.col("dim").alias("q_dim"), "block", F.col("ids").alias("q_ids"), F.col("marks").alias("q_marks"), F.col("vectors").alias("q_vectors"))
     dealt = blocks.withColumn("q_shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
-    return shards.join(dealt, (F.col("dim") == F.col("q_dim")) & (F.col("shard") == F.col("q_shard"))).drop("q_dim", "q_shard")
+    return shards.join(dealt.hint("merge"), (F.col("dim") == F.col("q_dim")) & (F.col("shard") == F.col("q_shard"))).drop("q_dim", "q_shard")
 
 
 def unpack(ids: pa.Scalar, marks: pa.Scalar, vectors: pa.Scalar, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -124,3 +124,28 @@ def test_empty_tables(spark):
     index, books, shards = ann.build_index(frame, Scratch(spark, "t"), "vec_id", "embedding")
     assert ann.nearest(index, books, shards, frame, "vec_id", "embedding", 5).count() == 0
     assert frame.select(F.lit(1)).count() == 0
+
+
+def test_blocks_are_never_broadcast(spark):
+    frame = table(spark, data(2000))
+    rows = vectors.usable(frame, "vec_id", "embedding")
+    met = vectors.meetings(vectors.packed(rows, 100, "shard", 2000), vectors.packed(rows.where("id % 50 = 0"), 100, "block", 40), 20)
+    assert met.collect()
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan.split("Initial Plan")[0]
+
+
+def test_walk_visits_best_boxes_first_and_prunes():
+    points = np.array([[x, y] for x in range(100) for y in range(100)], float)
+    seen = []
+
+    class Rows(np.ndarray):
+        def __getitem__(self, at):
+            seen.append(np.size(at))
+            return np.asarray(super().__getitem__(at))
+
+    tree = kdtree.Tree(points)
+    tree.points = points.view(Rows)
+    (where, scores), (none, _) = tree.search(np.array([[1.0, 1.0], [1.0, 1.0]]), [slice(9999, 10000), slice(0, 0)], np.array([-np.inf, 1e9], object), 3)
+    assert scores.tolist() == [197, 197, 196] and where.tolist() == [9899, 9998, 9799] and not len(none)
+    assert sum(seen) <= 2 * kdtree.LEAF
