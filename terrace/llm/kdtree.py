@@ -2,8 +2,9 @@
 
 A shard's tree splits at the median of its widest component down to leaves of at most ``LEAF`` rows; every node
 keeps the tight box of its rows. For a query, a box bounds the inner product from above (the larger of the two corner
-products in each component), and nodes are visited best bound first until the bound falls below the kth score. The kth
-score starts from a bounded set of long vectors that all tasks know, and rises within the shard.
+products in each component), and nodes are visited best bound first until the bound falls below the kth score. Queries of
+a block take their steps together, and those at one leaf are multiplied with its rows at once. The kth score starts from a
+bounded set of long vectors that all tasks know, and rises within the shard.
 
 Vectors are whole numbers here: ``floor(256 x)`` of each component; sums are exact (in doubles while they stay below
 2 to the 53rd, in Python's integers beyond; a score beyond a long is an error). Otherwise see ``vectors``.
@@ -11,8 +12,6 @@ Vectors are whole numbers here: ``floor(256 x)`` of each component; sums are exa
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,24 +55,34 @@ class Tree:
                 yield np.zeros(0, np.int64), np.zeros(0)
             return
         bounds = np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
-        for q, skip, floor, bound in zip(queries, own_rows, floors, bounds):
-            where, scores, kth = np.zeros(0, np.int64), np.zeros(0, self.points.dtype), floor
-            heap = [(-bound[0], 0)]
-            while heap and -heap[0][0] >= kth:
-                _, node = heapq.heappop(heap)
-                if self.children[node]:
-                    for child in self.children[node]:
-                        if bound[child] >= kth:
-                            heapq.heappush(heap, (-bound[child], child))
+        found = [(np.zeros(0, np.int64), np.zeros(0, self.points.dtype))] * len(queries)
+        kth, live = np.array(floors, self.points.dtype), np.arange(len(queries))
+        ahead = np.full(bounds.shape, -np.inf, bounds.dtype)  # bounds of the nodes that a query may visit next
+        ahead[:, 0] = bounds[:, 0]
+        while len(live):
+            node = ahead[live].argmax(axis=1)
+            top = ahead[live, node]
+            on = (top >= kth[live]) & (top > -np.inf)
+            live, node = live[on], node[on]
+            ahead[live, node] = -np.inf
+            for at in np.unique(node).tolist():  # queries at the same node go together
+                here = live[node == at]
+                if self.children[at]:
+                    for child in self.children[at]:
+                        ahead[here, child] = bounds[here, child]
                     continue
-                rows = self.rows[node]
-                own = self.points[rows] @ q
-                keep = (own >= kth) & ((rows < skip.start) | (rows >= skip.stop))
-                if keep.any():
-                    where, scores = vectors.best(np.concatenate([scores, own[keep]]), np.concatenate([where, rows[keep]]), k)
+                rows = self.rows[at]
+                own = queries[here] @ self.points[rows].T
+                which, hits = np.nonzero(own >= kth[here, None])
+                starts = np.flatnonzero(np.diff(which, prepend=-1))
+                for i, hit in zip(which[starts].tolist(), np.split(hits, starts[1:])):
+                    query, new = int(here[i]), rows[hit]
+                    skip, (where, scores) = own_rows[query], found[query]
+                    other = (new < skip.start) | (new >= skip.stop)
+                    found[query] = where, scores = vectors.best(np.concatenate([scores, own[i, hit[other]]]), np.concatenate([where, new[other]]), k)
                     if len(where) == k:
-                        kth = max(kth, scores[-1])
-            yield where, scores
+                        kth[query] = max(kth[query], scores[-1])
+        yield from found
 
 
 def whole(v: np.ndarray) -> np.ndarray:
@@ -102,7 +111,9 @@ def top_k(rows: DataFrame, queries: DataFrame, key: str, vector: str, k: int) ->
     packed = scratch.save(vectors.packed(kept, vectors.SHARD_ROWS, "shard", n), "shards")
     length = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     seeds: dict[int, tuple] = {}
-    for dim, ident, v in sorted(kept.select("dim", "id", "v").orderBy(F.desc(length), "id").limit(SEEDS).collect(), key=lambda r: r[:2]):
+    # Written and read again: collected at once, every task would send its own longest vectors to the driver.
+    longest = scratch.save(kept.select("dim", "id", "v").orderBy(F.desc(length), "id").limit(SEEDS), "seeds")
+    for dim, ident, v in sorted(longest.collect(), key=lambda r: r[:2]):
         seeds.setdefault(dim, ({}, None))[0].setdefault(ident, v)  # an id counts once
     seeds = {dim: (np.array(list(by_id)), whole(np.array(list(by_id.values())))) for dim, (by_id, _) in seeds.items()}
     asked = vectors.usable(queries, key, vector)
