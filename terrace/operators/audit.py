@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions.stats import relative_difference, spearman
 from terrace.operators.spatial_join import within
 
+#: Pairs of segments that a task compares at a time.
+PAIRS = 1_000_000
+
 
 def counts_by_policy(left: DataFrame, right: DataFrame, group: str, confidence: str, floors: list[float]) -> DataFrame:
     """By group (null kept): the left's rows, and the right's under each floor of confidence; 0 where a source has none."""
@@ -96,45 +101,86 @@ def buffered_lengths(a: DataFrame, b: DataFrame, buffer: float, size: float, ide
     """By line of ``a``: its length and the part of it within ``buffer`` of any segment of ``b``, exactly.
 
     The part of a segment within the buffer of another is one interval: a buffer of a segment (a rectangle and two disks) is convex.
-    Pairs meet in buckets of ``size``, each in the one that holds the lower corner of where they meet; intervals are then united.
+    Segments of ``a`` that repeat are measured once. Pairs meet in buckets of ``size``, where intervals of a segment are united; those
+    of all buckets are then united once more.
     """
-    near = b.select(*[F.col(c).alias(f"r_{c}") for c in ("ax", "ay", "bx", "by")]).distinct()
-    low = lambda p, v: F.least(F.col(f"{p}a{v}"), F.col(f"{p}b{v}"))
-    high = lambda p, v: F.greatest(F.col(f"{p}a{v}"), F.col(f"{p}b{v}"))
+    corners = ["ax", "ay", "bx", "by"]
+    near = b.select(*corners).distinct()
+    low, high = (lambda v: F.least(f"a{v}", f"b{v}")), (lambda v: F.greatest(f"a{v}", f"b{v}"))
     bucket = lambda c: F.floor(c / size).cast("long")
-    run = lambda p, v, more: F.explode(F.sequence(bucket(low(p, v) - more), bucket(high(p, v) + more)))
+    deal = lambda df, more: df.withColumn("__i", F.explode(F.sequence(bucket(low("x") - more), bucket(high("x") + more)))).withColumn("__j", F.explode(F.sequence(bucket(low("y") - more), bucket(high("y") + more))))
     whole = F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2)
-    here = a.select(ident, "seq", "ax", "ay", "bx", "by", whole.alias("length")).where("length > 0")
-    met = here.withColumn("__i", run("", "x", 0.0)).withColumn("__j", run("", "y", 0.0)).join(near.withColumn("__i", run("r_", "x", buffer)).withColumn("__j", run("r_", "y", buffer)), ["__i", "__j"])
-    met = met.where((F.col("__i") == bucket(F.greatest(low("", "x"), low("r_", "x") - buffer))) & (F.col("__j") == bucket(F.greatest(low("", "y"), low("r_", "y") - buffer))))
-    c, square = F.col, F.col("length") * F.col("length")
-    # In steps, so that no expression is written out again in the next one.
-    met = met.select(ident, "seq", "length", *[(c(p) - c(q)).alias(n) for n, p, q in (
-        ("dx", "bx", "ax"), ("dy", "by", "ay"), ("ex", "r_bx", "r_ax"), ("ey", "r_by", "r_ay"), ("ux", "ax", "r_ax"), ("uy", "ay", "r_ay"), ("vx", "ax", "r_bx"), ("vy", "ay", "r_by"))])
-    dot = lambda x, y, z, w: c(x) * c(z) + c(y) * c(w)
-    met = met.select("*", dot("ex", "ey", "ex", "ey").alias("far"), (c("ux") * c("ey") - c("uy") * c("ex")).alias("c0"), (c("dx") * c("ey") - c("dy") * c("ex")).alias("c1"),
-                     dot("ux", "uy", "ex", "ey").alias("p0"), dot("dx", "dy", "ex", "ey").alias("p1"), dot("ux", "uy", "dx", "dy").alias("hu"), dot("vx", "vy", "dx", "dy").alias("hv"))
-    room = lambda h, x, y: c(h) * c(h) - square * (dot(x, y, x, y) - buffer * buffer)
-    root = lambda r: F.when(r >= 0, F.sqrt(r))
-    met = met.select(ident, "seq", "length", "far", "c0", "c1", "p0", "p1", "hu", "hv", (buffer * F.sqrt("far")).alias("wide"), root(room("hu", "ux", "uy")).alias("ru"), root(room("hv", "vx", "vy")).alias("rv"))
-
-    def between(start: str, slope: str, lo: Column, hi: Column) -> tuple[Column, Column]:
-        """Where a linear function lies between two values; from above to below if nowhere."""
-        flat, p, q = (c(start) >= lo) & (c(start) <= hi), F.try_divide(lo - c(start), c(slope)), F.try_divide(hi - c(start), c(slope))
-        return F.when(c(slope) == 0, F.when(flat, 0.0).otherwise(2.0)).otherwise(F.least(p, q)), F.when(c(slope) == 0, F.when(flat, 1.0).otherwise(-1.0)).otherwise(F.greatest(p, q))
-
-    across, along = between("c0", "c1", -c("wide"), c("wide")), between("p0", "p1", F.lit(0.0), c("far"))
-    met = met.withColumns({"s0": F.greatest(across[0], along[0]), "s1": F.least(across[1], along[1])})
-    strip = (c("far") > 0) & (c("s0") <= c("s1"))
-    ends = [(F.when(strip, c("s0")), F.when(strip, c("s1")))] + [((-c(h) - c(r)) / square, (-c(h) + c(r)) / square) for h, r in (("hu", "ru"), ("hv", "rv"))]
-    first, last = F.least(*[e[0] for e in ends]), F.greatest(*[e[1] for e in ends])  # null if nothing meets
-    cut = met.select(ident, "seq", "length", first.alias("t0"), last.alias("t1")).where("t0 IS NOT NULL")
-    cut = cut.withColumns({"t0": F.greatest(F.lit(0.0), F.col("t0")), "t1": F.least(F.lit(1.0), F.col("t1"))}).where("t0 < t1")
-    w = Window.partitionBy(ident, "seq").orderBy("t0", "t1").rowsBetween(Window.unboundedPreceding, -1)
+    here = a.select(ident, "seq", *corners, whole.alias("length")).where("length > 0")
+    shapes = here.select(*corners, "length").distinct()
+
+    def covered(left: pa.Table, right: pa.Table) -> pa.Table:
+        one, other = ({n: t.column(n).to_numpy() for n in t.column_names} for t in (left, right))
+        out = {n: [np.zeros(0)] for n in (*corners, "length", "t0", "t1")}
+        rows = max(1, PAIRS // max(1, right.num_rows))
+        for at in range(0, left.num_rows if right.num_rows else 0, rows):
+            some = {n: v[at : at + rows] for n, v in one.items()}
+            which, t0, t1 = unite(*intervals(some, other, buffer))
+            for n in (*corners, "length"):
+                out[n].append(some[n][which])
+            out["t0"].append(t0)
+            out["t1"].append(t1)
+        return pa.table({n: np.concatenate(v) for n, v in out.items()})
+
+    met = deal(shapes, 0.0).groupBy("__i", "__j").cogroup(deal(near, buffer).groupBy("__i", "__j"))
+    cut = met.applyInArrow(covered, ", ".join(f"{n} double" for n in (*corners, "length", "t0", "t1")))
+    w = Window.partitionBy(*corners).orderBy("t0", "t1").rowsBetween(Window.unboundedPreceding, -1)
     fresh = cut.withColumn("__n", F.greatest(F.lit(0.0), F.col("t1") - F.greatest("t0", F.coalesce(F.max("t1").over(w), F.lit(0.0)))))
-    hit = fresh.groupBy(ident).agg(F.sum(F.col("__n") * F.col("length")).alias("covered"))
-    total = here.groupBy(ident).agg(F.sum("length").alias("length"))
-    return total.join(hit, ident, "left").select(ident, "length", F.coalesce("covered", F.lit(0.0)).alias("covered"))
+    hit = fresh.groupBy(*corners).agg(F.sum(F.col("__n") * F.col("length")).alias("__covered"))
+    return here.join(hit, corners, "left").groupBy(ident).agg(F.sum("length").alias("length"), F.coalesce(F.sum("__covered"), F.lit(0.0)).alias("covered"))
+
+
+def intervals(a: dict[str, np.ndarray], b: dict[str, np.ndarray], buffer: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions in ``a`` and the intervals ``t0 < t1`` in 0..1 of their segments that lie within the buffer of a segment of ``b``."""
+    apart = np.zeros((len(a["ax"]), len(b["ax"])), bool)
+    for p, q in (("ax", "bx"), ("ay", "by")):
+        apart |= np.minimum(a[p], a[q])[:, None] > np.maximum(b[p], b[q])[None] + buffer
+        apart |= np.maximum(a[p], a[q])[:, None] < np.minimum(b[p], b[q])[None] - buffer
+    i, j = np.nonzero(~apart)
+    ax, ay, bx, by, length = (a[n][i] for n in ("ax", "ay", "bx", "by", "length"))
+    rax, ray, rbx, rby = (b[n][j] for n in ("ax", "ay", "bx", "by"))
+    dx, dy, ex, ey, ux, uy, vx, vy = bx - ax, by - ay, rbx - rax, rby - ray, ax - rax, ay - ray, ax - rbx, ay - rby
+    far, square = ex * ex + ey * ey, length * length
+    hu, hv, wide = ux * dx + uy * dy, vx * dx + vy * dy, buffer * np.sqrt(far)
+
+    def between(start, slope, lo, hi):
+        """Where a linear function lies between two values; from above to below if nowhere."""
+        flat, p, q = (start >= lo) & (start <= hi), (lo - start) / slope, (hi - start) / slope
+        return np.where(slope == 0, np.where(flat, 0.0, 2.0), np.minimum(p, q)), np.where(slope == 0, np.where(flat, 1.0, -1.0), np.maximum(p, q))
+
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ru = np.sqrt(hu * hu - square * (ux * ux + uy * uy - buffer * buffer))  # not a number if the disk is missed
+        rv = np.sqrt(hv * hv - square * (vx * vx + vy * vy - buffer * buffer))
+        across = between(ux * ey - uy * ex, dx * ey - dy * ex, -wide, wide)
+        along = between(ux * ex + uy * ey, dx * ex + dy * ey, 0.0, far)
+        s0, s1 = np.maximum(across[0], along[0]), np.minimum(across[1], along[1])
+        strip = (far > 0) & (s0 <= s1)
+        t0 = np.fmin(np.where(strip, s0, np.nan), np.fmin((-hu - ru) / square, (-hv - rv) / square))
+        t1 = np.fmax(np.where(strip, s1, np.nan), np.fmax((-hu + ru) / square, (-hv + rv) / square))
+        t0, t1 = np.maximum(t0, 0.0), np.minimum(t1, 1.0)
+        some = t0 < t1
+    return i[some], t0[some], t1[some]
+
+
+def unite(which: np.ndarray, t0: np.ndarray, t1: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Intervals of each position united: positions and disjoint intervals in order."""
+    if not len(which):
+        return which, t0, t1
+    order = np.lexsort([t0, which])
+    which, t0, t1, n = which[order], t0[order], t1[order], len(order)
+    by_end = np.argsort(t1, kind="stable")
+    place = np.empty(n, np.int64)
+    place[by_end] = np.arange(n)
+    top = np.maximum.accumulate(which.astype(np.int64) * n + place)  # the furthest end so far, of the same position
+    end = t1[by_end[top % n]]
+    first = np.ones(n, bool)
+    first[1:] = (which[1:] != which[:-1]) | (t0[1:] > end[:-1])
+    starts = np.flatnonzero(first)
+    return which[starts], t0[starts], end[np.append(starts[1:], n) - 1]
 
 
 def unmatched(lengths: DataFrame, ident: str, n: int, share: float = 0.5) -> DataFrame:

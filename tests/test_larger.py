@@ -1,9 +1,10 @@
 """Queries over keys and numbers of rows that the small tables do not hold, against their SQL."""
 
-import duckdb
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 
+from terrace.operators import audit
 from terrace.queries import ORACLE_SQL, QUERIES
 from tests.oracle import connect, rows
 
@@ -16,3 +17,32 @@ def test_triangles_without_area_and_rows_that_repeat(spark, tmp_path):
     suppliers(tmp_path, [1573, 1574, 2379, 1, 1, 9504, 17])  # the corners of 1573, 1574, 2379 and 9504 lie on a line
     got = rows(QUERIES["polygon_cells"](spark, str(tmp_path)).toPandas())
     assert got == rows(connect(tmp_path).sql(ORACLE_SQL["polygon_cells"]).df()) and len(got[1]) == 7
+
+
+def rows_made(frame, *nodes):
+    """Rows that the joins of a plan, as it ran, have put out."""
+    frame.collect()
+    made, todo = 0, [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name, metrics = node.nodeName(), node.metrics()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        if any(n in name for n in nodes) and metrics.contains("numOutputRows"):
+            made += metrics.apply("numOutputRows").value()
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+    return made
+
+
+def test_segments_that_repeat_are_measured_once(spark):
+    ways = spark.range(300).selectExpr("id AS way", "0L AS seq", "0.0D AS ax", "cast(id % 3 * 10 AS double) AS ay", "400.0D AS bx", "cast(id % 3 * 10 AS double) AS by")
+    others = spark.range(200).selectExpr("cast(id AS double) AS ax", "-5.0D AS ay", "cast(id + 1 AS double) AS bx", "-5.0D AS by")
+    out = audit.buffered_lengths(ways, others, 10.0, 150.0)
+    got = {r.way: r for r in out.collect()}
+    assert len(got) == 300 and {round(r.covered, 6) for w, r in got.items() if w % 3 == 0} == {round(200 + 75**0.5, 6)}
+    assert {r.covered for w, r in got.items() if w % 3 == 2} == {0.0}
+    assert rows_made(out, "Join", "FlatMapCoGroups") <= 2000
+    united = audit.unite(np.array([0, 1, 0, 0, 1]), np.array([0.2, 0.0, 0.1, 0.9, 0.5]), np.array([0.4, 0.1, 0.8, 1.0, 0.6]))
+    assert [v.tolist() for v in united] == [[0, 0, 1, 1], [0.1, 0.9, 0.0, 0.5], [0.8, 1.0, 0.1, 0.6]]
