@@ -46,3 +46,16 @@ def test_segments_that_repeat_are_measured_once(spark):
     assert rows_made(out, "Join", "FlatMapCoGroups") <= 2000
     united = audit.unite(np.array([0, 1, 0, 0, 1]), np.array([0.2, 0.0, 0.1, 0.9, 0.5]), np.array([0.4, 0.1, 0.8, 1.0, 0.6]))
     assert [v.tolist() for v in united] == [[0, 0, 1, 1], [0.1, 0.9, 0.0, 0.5], [0.8, 1.0, 0.1, 0.6]]
+
+
+def test_ways_at_one_place_are_measured_once(spark, tmp_path):
+    keys = [(o + 19_000 * c, n) for o in range(1, 41) for c in range(20) for n in range(1, 5)]  # keys 19 000 apart lie at one place
+    flags = [("R" if (o % 19_000 + n) % 2 else "A") for o, n in keys]
+    lines = {"l_orderkey": pa.array([o for o, _ in keys], pa.int64()), "l_linenumber": pa.array([n for _, n in keys], pa.int32()), "l_partkey": pa.array(range(len(keys)), pa.int64()), "l_returnflag": flags, "l_linestatus": ["O"] * len(keys)}
+    pq.write_table(pa.table(lines), f"{tmp_path}/lineitem.parquet")
+    duck = connect(tmp_path)
+    for name in ("line_match", "unmatched_top"):
+        assert rows(QUERIES[name](spark, str(tmp_path)).toPandas()) == rows(duck.sql(ORACLE_SQL[name]).df())
+    top = QUERIES["unmatched_top"](spark, str(tmp_path))
+    made = rows_made(top, "Join", "FlatMapCoGroups")
+    assert top.count() == 20 and made <= len(keys) // 2
