@@ -240,8 +240,7 @@ _TRIANGLES = """t AS (SELECT s_suppkey AS shape, CAST(s_suppkey * 6007 % 18000 A
 
 def polygon_points(spark: SparkSession, d: str) -> DataFrame:
     """Points inside each triangle or on its edge."""
-    met = polygons.points_in(layers.pois(spark, d), _triangles(spark, d), "poi_id", "shape", 500.0)
-    return met.groupBy("shape").agg(F.count(F.lit(1)).alias("n"), F.min("poi_id").alias("first"))
+    return polygons.counts_in(layers.pois(spark, d), _triangles(spark, d), "poi_id", "shape", 500.0)
 
 
 POLYGON_POINTS = with_layers("pois", "WITH " + _TRIANGLES + """,

@@ -36,6 +36,17 @@ def rows_made(frame, *nodes):
     return made
 
 
+def test_points_at_one_place_are_tested_once(spark, tmp_path):
+    suppliers(tmp_path, list(range(1, 60)))
+    keys = [k + 20_000 * c for k in range(1, 400) for c in range(25)]  # keys 20 000 apart lie at one place
+    text = pa.array([None] * len(keys), pa.string())
+    pq.write_table(pa.table({"c_custkey": pa.array(keys, pa.int64()), "c_mktsegment": text, "c_name": text, "c_acctbal": pa.array([0.0] * len(keys)), "c_nationkey": pa.array([0] * len(keys), pa.int32())}), f"{tmp_path}/customer.parquet")
+    frame = QUERIES["polygon_points"](spark, str(tmp_path))
+    want = rows(connect(tmp_path).sql(ORACLE_SQL["polygon_points"]).df())
+    assert rows(frame.toPandas()) == want and max(int(r[1]) for r in want[1]) >= 25
+    assert rows_made(frame, "Join") < sum(int(r[1]) for r in want[1])
+
+
 def test_segments_that_repeat_are_measured_once(spark):
     ways = spark.range(300).selectExpr("id AS way", "0L AS seq", "0.0D AS ax", "cast(id % 3 * 10 AS double) AS ay", "400.0D AS bx", "cast(id % 3 * 10 AS double) AS by")
     others = spark.range(200).selectExpr("cast(id AS double) AS ax", "-5.0D AS ay", "cast(id + 1 AS double) AS bx", "-5.0D AS by")
