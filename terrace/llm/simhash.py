@@ -1,11 +1,12 @@
 """SimHash near-duplicates by a byte-position inverted index with count filtering.
 
 A 64-bit fingerprint has eight positional bytes. Two fingerprints with at most ``d`` differing bits share at
-least ``8 - d`` positional bytes, so a pair reaches that count if and only if it meets in one of the index's
-combined postings of ``8 - d`` positions with their byte values. Exact copies are folded before the index is
-built (one posting for each distinct fingerprint), so a posting holds at most 2 to the power ``8 d`` fingerprints
-whatever the number of documents. Within a posting, shared bytes are tallied by pair, pairs below the
-guaranteed count are dropped, the others are verified on their bits, and the links' spanning forest goes on.
+least ``8 - d`` of them, so of any ``3 + d`` positions they share three: the index has postings of the values at
+three of these positions. Exact copies are folded before it is built (one entry for each distinct fingerprint).
+Members of a posting share three bytes for certain; shared bytes of all positions are counted by pair, pairs below
+``8 - d`` are dropped, the others are verified on their bits, and the links' spanning forest goes on. A dense posting
+is split by the values at further positions until the count is sure, in parts that then hold at most 2 to the power
+``8 d`` fingerprints.
 
 Defined results: a text without words (or null) has fingerprint 0 and links like any other; fewer words than
 a shingle's give one shingle of them all; repeated rows share their fingerprint and component.
@@ -28,8 +29,10 @@ from terrace.llm.graph import components
 
 #: Shingle hashes that are unpacked to bits at a time.
 CHUNK = 1 << 15
-#: Postings up to this size are compared as one table; larger ones by probing.
+#: Postings up to this size are counted as one table; larger ones are split.
 TABLE = 512
+#: Positions whose values make a posting.
+KEYED = 3
 
 
 def fingerprint(text: bytes, shingle: int, seed: int) -> int:
@@ -77,34 +80,53 @@ def _forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
         return i != j
 
     out = []
-    if len(fps) <= TABLE:
-        octets = fps.view(np.uint8).reshape(-1, 8)
-        shared = (octets[:, None, :] == octets[None, :, :]).sum(axis=2)  # tally of shared positional bytes
-        differ = np.bitwise_count(fps[:, None] ^ fps[None, :])
-        for i, j in np.argwhere(np.triu((shared >= 8 - distance) & (differ <= distance), 1)).tolist():
-            if link(i, j):
-                out.append((i, j))
-        return out
-    # The posting's values differ in few positions, so every neighbour is one of a bounded number of bit patterns.
-    varying = int(np.bitwise_or.reduce(fps ^ fps[0]))
-    bits = [k for k in range(64) if varying >> k & 1]
-    order = np.argsort(fps)
-    for k in range(1, distance + 1):
-        for flips in combinations(bits, k):
-            other = fps ^ np.uint64(sum(1 << x for x in flips))
-            at = np.minimum(np.searchsorted(fps, other, sorter=order), len(fps) - 1)
-            hits = np.flatnonzero((fps[order[at]] == other) & (fps < other))
-            for i, j in zip(hits.tolist(), order[at[hits]].tolist()):
-                if link(i, j):
-                    out.append((i, j))
+
+    def add(i: np.ndarray, j: np.ndarray) -> None:
+        out.extend(p for p in zip(i.tolist(), j.tolist()) if link(*p))
+
+    todo = [np.arange(len(fps))]
+    while todo:
+        part = todo.pop()
+        own = fps[part]
+        if len(own) <= TABLE:
+            differ = np.bitwise_count(own[:, None] ^ own[None, :])
+            add(*(part[x] for x in np.nonzero(np.triu(enough(own, distance) & (differ <= distance), 1))))
+            continue
+        varying = int(np.bitwise_or.reduce(own ^ own[0]))
+        places = [0xFF << k for k in range(0, 64, 8) if varying & 0xFF << k]
+        if len(places) > distance:  # the count is not sure yet: a pair shares all but ``distance`` of these positions
+            for keep in combinations(places, len(places) - distance):
+                key = own & np.uint64(sum(keep))
+                order = np.argsort(key, kind="stable")
+                starts = np.flatnonzero(np.diff(key[order], prepend=~key[order[:1]]))
+                todo += [part[np.sort(x)] for x in np.split(order, starts[1:]) if len(x) > 1]
+            continue
+        # The values differ in few positions, so every neighbour is one of a bounded number of bit patterns.
+        bits = [k for k in range(64) if varying >> k & 1]
+        order = np.argsort(own)
+        for k in range(1, distance + 1):
+            for flips in combinations(bits, k):
+                other = own ^ np.uint64(sum(1 << x for x in flips))
+                at = np.minimum(np.searchsorted(own, other, sorter=order), len(own) - 1)
+                hits = np.flatnonzero((own[order[at]] == other) & (own < other))
+                add(part[hits], part[order[at[hits]]])
     return out
 
 
+def enough(fps: np.ndarray, distance: int) -> np.ndarray:
+    """The count filter: which pairs share as many positional bytes as fingerprints at this distance do."""
+    octets = fps.view(np.uint8).reshape(-1, 8)
+    shared = np.zeros((len(fps), len(fps)), np.uint8)
+    for k in range(8):
+        shared += octets[:, None, k] == octets[None, :, k]
+    return shared >= 8 - distance
+
+
 def links(distinct: DataFrame, distance: int) -> DataFrame:
     """``a, b``: links between distinct fingerprints of column ``fp``, a spanning forest of each posting."""
     if not 0 < distance <= 3:
-        raise ValueError("postings are bounded for one to three differing bits")
-    masks = [int.from_bytes(bytes(255 * (k in keep) for k in range(8)), "big", signed=True) for keep in combinations(range(8), 8 - distance)]
+        raise ValueError("the index is made for one to three differing bits")
+    masks = [int.from_bytes(bytes(255 * (k in keep) for k in range(8)), "big", signed=True) for keep in combinations(range(KEYED + distance), KEYED)]
     postings = F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("positions", "bytes")
     held = distinct.select("fp", postings).groupBy("positions", "bytes").agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1").select("fps")
 

@@ -154,3 +154,18 @@ def test_large_postings_of_copies_lose_no_pair(spark):
     for k in range(40):  # one passage in all, alike or not by what follows
         texts += [" ".join([f"p{i}" for i in range(30)] + [f"q{k}x{i}" for i in range(n)]) for n in (60, 66)]
     assert kept_of(spark, texts) == wanted(texts)
+
+
+def test_postings_count_shared_bytes_and_drop_pairs(spark):
+    near = np.array([0x1122334455667788, 0x1122334455667789, 0x1122334455AABBCC, 0x1122334455667700], np.uint64)
+    assert simhash.enough(near, 2)[0].tolist() == [True, True, False, True]  # the third shares five bytes only
+    rng = random.Random(4)
+    fps = sorted({0xABCDEF << 40 | rng.choice((0, 3, 1 << 20)) << 16 | rng.randrange(1 << 12) ^ rng.randrange(4) << 30 for _ in range(2500)})  # one dense posting
+    fps += [0x123456 << 40 | rng.getrandbits(40) for _ in range(1500)]  # another, without links
+    linked = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 2]
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    frame = spark.createDataFrame([(x,) for x in signed], "fp long")
+    edges, at = simhash.links(frame, 2), {x: i for i, x in enumerate(signed)}
+    rows = edges.collect()
+    assert all((fps[at[r.a]] ^ fps[at[r.b]]).bit_count() <= 2 for r in rows)
+    assert groups(len(fps), [(at[r.a], at[r.b]) for r in rows]) == groups(len(fps), linked)
