@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions.stats import relative_difference, spearman
@@ -12,6 +14,8 @@ from terrace.operators.spatial_join import within
 
 #: Pairs of segments that a task compares at a time.
 PAIRS = 1_000_000
+#: Most cells along a side of a bucket.
+CELLS = 32
 
 
 def counts_by_policy(left: DataFrame, right: DataFrame, group: str, confidence: str, floors: list[float]) -> DataFrame:
@@ -101,8 +105,8 @@ def buffered_lengths(a: DataFrame, b: DataFrame, buffer: float, size: float, ide
     """By line of ``a``: its length and the part of it within ``buffer`` of any segment of ``b``, exactly.
 
     The part of a segment within the buffer of another is one interval: a buffer of a segment (a rectangle and two disks) is convex.
-    Segments of ``a`` that repeat are measured once. Pairs meet in buckets of ``size``, where intervals of a segment are united; those
-    of all buckets are then united once more.
+    Segments of ``a`` that repeat are measured once. Each bucket of ``size`` measures what lies in it: first small cells that lie wholly
+    within the buffer of one segment of ``b``, then the stretches in other cells, against each segment near them.
     """
     corners = ["ax", "ay", "bx", "by"]
     near = b.select(*corners).distinct()
@@ -111,40 +115,92 @@ def buffered_lengths(a: DataFrame, b: DataFrame, buffer: float, size: float, ide
     deal = lambda df, more: df.withColumn("__i", F.explode(F.sequence(bucket(low("x") - more), bucket(high("x") + more)))).withColumn("__j", F.explode(F.sequence(bucket(low("y") - more), bucket(high("y") + more))))
     whole = F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2)
     here = a.select(ident, "seq", *corners, whole.alias("length")).where("length > 0")
-    shapes = here.select(*corners, "length").distinct()
-
-    def covered(left: pa.Table, right: pa.Table) -> pa.Table:
-        one, other = ({n: t.column(n).to_numpy() for n in t.column_names} for t in (left, right))
-        out = {n: [np.zeros(0)] for n in (*corners, "length", "t0", "t1")}
-        rows = max(1, PAIRS // max(1, right.num_rows))
-        for at in range(0, left.num_rows if right.num_rows else 0, rows):
-            some = {n: v[at : at + rows] for n, v in one.items()}
-            which, t0, t1 = unite(*intervals(some, other, buffer))
-            for n in (*corners, "length"):
-                out[n].append(some[n][which])
-            out["t0"].append(t0)
-            out["t1"].append(t1)
-        return pa.table({n: np.concatenate(v) for n, v in out.items()})
+    shapes = here.select(*corners).distinct()
+    n = max(1, min(CELLS, math.ceil(1.5 * size / buffer))) if buffer > 0 else 1
+
+    def covered(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        one, other = ({c: t.column(c).to_numpy() for c in t.column_names} for t in (left, right))
+        x, y = (size * (k.as_py() + np.arange(n + 1) / n) for k in key)
+        share = shares(one, other, x, y, buffer)
+        out = {c: one[c][share > 0] for c in corners}
+        return pa.table(out | {"__share": share[share > 0]})
 
     met = deal(shapes, 0.0).groupBy("__i", "__j").cogroup(deal(near, buffer).groupBy("__i", "__j"))
-    cut = met.applyInArrow(covered, ", ".join(f"{n} double" for n in (*corners, "length", "t0", "t1")))
-    w = Window.partitionBy(*corners).orderBy("t0", "t1").rowsBetween(Window.unboundedPreceding, -1)
-    fresh = cut.withColumn("__n", F.greatest(F.lit(0.0), F.col("t1") - F.greatest("t0", F.coalesce(F.max("t1").over(w), F.lit(0.0)))))
-    hit = fresh.groupBy(*corners).agg(F.sum(F.col("__n") * F.col("length")).alias("__covered"))
-    return here.join(hit, corners, "left").groupBy(ident).agg(F.sum("length").alias("length"), F.coalesce(F.sum("__covered"), F.lit(0.0)).alias("covered"))
+    hit = met.applyInArrow(covered, ", ".join(f"{c} double" for c in (*corners, "__share"))).groupBy(*corners).agg(F.sum("__share").alias("__share"))
+    part = F.coalesce(F.sum(F.col("__share") * F.col("length")), F.lit(0.0))
+    return here.join(hit, corners, "left").groupBy(ident).agg(F.sum("length").alias("length"), part.alias("covered"))
+
+
+def shares(a: dict[str, np.ndarray], b: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, buffer: float) -> np.ndarray:
+    """Of each segment of ``a`` the share that lies between the outer lines of ``x`` and ``y`` and within the buffer of any segment of ``b``."""
+    share = np.zeros(len(a["ax"]))
+    if not len(share) or not len(b["ax"]):
+        return share
+    full, rows, step = full_cells(b, x, y, buffer), max(1, PAIRS // (2 * len(x) + 2)), max(1, PAIRS // len(b["ax"]))
+    if full.all():  # then only the outer lines matter
+        x, y, full = x[[0, -1]], y[[0, -1]], full[:1, :1]
+    for at in range(0, len(share), rows):
+        some = {c: v[at : at + rows] for c, v in a.items()}
+        share[at : at + rows], which, s0, s1 = stretches(some, x, y, full)
+        for k in range(0, len(which), step):
+            of = which[k : k + step]
+            piece, t0, t1 = unite(*intervals({c: v[of] for c, v in some.items()} | {"s0": s0[k : k + step], "s1": s1[k : k + step]}, b, buffer))
+            np.add.at(share, at + of[piece], t1 - t0)
+    return share
+
+
+def full_cells(b: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, buffer: float) -> np.ndarray:
+    """Cells between the lines ``x`` and ``y`` that lie wholly within the buffer of one segment of ``b``: as it is convex, their corners tell."""
+    full, least = np.zeros((len(x) - 1, len(y) - 1), bool), buffer * (1 - 1e-9)
+    for at in range(0, len(b["ax"]), 64):
+        ax, ay, bx, by = (b[c][at : at + 64, None, None] for c in ("ax", "ay", "bx", "by"))
+        dx, dy, px, py = bx - ax, by - ay, x[:, None] - ax, y - ay
+        far = dx * dx + dy * dy
+        far[far == 0] = 1.0
+        t = np.clip((px * dx + py * dy) / far, 0.0, 1.0)
+        inside = (px - t * dx) ** 2 + (py - t * dy) ** 2 <= least * least
+        beside = inside[:, :-1] & inside[:, 1:]
+        full |= (beside[:, :, :-1] & beside[:, :, 1:]).any(0)
+        if full.all():
+            break
+    return full
+
+
+def stretches(a: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, full: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each segment the share in full cells between the lines; positions and stretches ``s0 < s1`` of 0..1 in the other cells.
+
+    A segment along one axis must lie between the other axis' outer lines.
+    """
+    ax, ay, dx, dy = a["ax"][:, None], a["ay"][:, None], (a["bx"] - a["ax"])[:, None], (a["by"] - a["ay"])[:, None]
+    low, high, at = np.zeros_like(ax), np.ones_like(ax), []
+    for lines, start, slope in ((x, ax, dx), (y, ay, dy)):
+        t = np.where(slope == 0, 0.0, (lines - start) / np.where(slope == 0, 1.0, slope))
+        at.append(t)
+        low = np.where(slope == 0, low, np.maximum(low, np.minimum(t[:, :1], t[:, -1:])))
+        high = np.where(slope == 0, high, np.minimum(high, np.maximum(t[:, :1], t[:, -1:])))
+    at = np.sort(np.clip(np.hstack([*at, low, high]), low, np.maximum(low, high)), axis=1)
+    t0, t1 = at[:, :-1], at[:, 1:]
+    middle = (t0 + t1) / 2
+    col, row = (np.clip(np.searchsorted(lines, start + middle * slope, "right") - 1, 0, len(lines) - 2) for lines, start, slope in ((x, ax, dx), (y, ay, dy)))
+    inner = full[col, row]
+    rest = np.pad(~inner & (t0 < t1), ((0, 0), (1, 1)))
+    which, first = np.nonzero(rest[:, 1:-1] & ~rest[:, :-2])
+    last = np.nonzero(rest[:, 1:-1] & ~rest[:, 2:])[1]
+    return np.where(inner, t1 - t0, 0.0).sum(1), which, t0[which, first], t1[which, last]
 
 
 def intervals(a: dict[str, np.ndarray], b: dict[str, np.ndarray], buffer: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions in ``a`` and the intervals ``t0 < t1`` in 0..1 of their segments that lie within the buffer of a segment of ``b``."""
+    """Positions in ``a`` and the intervals ``t0 < t1`` of their stretches ``s0..s1`` that lie within the buffer of a segment of ``b``."""
     apart = np.zeros((len(a["ax"]), len(b["ax"])), bool)
     for p, q in (("ax", "bx"), ("ay", "by")):
-        apart |= np.minimum(a[p], a[q])[:, None] > np.maximum(b[p], b[q])[None] + buffer
-        apart |= np.maximum(a[p], a[q])[:, None] < np.minimum(b[p], b[q])[None] - buffer
+        u, v = (a[p] + a[s] * (a[q] - a[p]) for s in ("s0", "s1"))
+        apart |= np.minimum(u, v)[:, None] > np.maximum(b[p], b[q])[None] + buffer * (1 + 1e-9)
+        apart |= np.maximum(u, v)[:, None] < np.minimum(b[p], b[q])[None] - buffer * (1 + 1e-9)
     i, j = np.nonzero(~apart)
-    ax, ay, bx, by, length = (a[n][i] for n in ("ax", "ay", "bx", "by", "length"))
+    ax, ay, bx, by = (a[n][i] for n in ("ax", "ay", "bx", "by"))
     rax, ray, rbx, rby = (b[n][j] for n in ("ax", "ay", "bx", "by"))
     dx, dy, ex, ey, ux, uy, vx, vy = bx - ax, by - ay, rbx - rax, rby - ray, ax - rax, ay - ray, ax - rbx, ay - rby
-    far, square = ex * ex + ey * ey, length * length
+    far, square = ex * ex + ey * ey, np.sqrt(dx * dx + dy * dy) ** 2
     hu, hv, wide = ux * dx + uy * dy, vx * dx + vy * dy, buffer * np.sqrt(far)
 
     def between(start, slope, lo, hi):
@@ -161,7 +217,7 @@ def intervals(a: dict[str, np.ndarray], b: dict[str, np.ndarray], buffer: float)
         strip = (far > 0) & (s0 <= s1)
         t0 = np.fmin(np.where(strip, s0, np.nan), np.fmin((-hu - ru) / square, (-hv - rv) / square))
         t1 = np.fmax(np.where(strip, s1, np.nan), np.fmax((-hu + ru) / square, (-hv + rv) / square))
-        t0, t1 = np.maximum(t0, 0.0), np.minimum(t1, 1.0)
+        t0, t1 = np.maximum(t0, a["s0"][i]), np.minimum(t1, a["s1"][i])
         some = t0 < t1
     return i[some], t0[some], t1[some]
 

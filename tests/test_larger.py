@@ -70,3 +70,21 @@ def test_ways_at_one_place_are_measured_once(spark, tmp_path):
     top = QUERIES["unmatched_top"](spark, str(tmp_path))
     made = rows_made(top, "Join", "FlatMapCoGroups")
     assert top.count() == 20 and made <= len(keys) // 2
+
+
+def test_what_single_segments_cover_whole_needs_no_pairs(monkeypatch):
+    rng, compared, plain = np.random.default_rng(5), [], audit.intervals
+    deal = lambda n, low, high: dict(zip(("ax", "ay", "bx", "by"), rng.integers(low, high, (4, n)).astype(float)))
+    a, b = deal(600, 0, 500), deal(700, -30, 530)
+    a["bx"][:20], a["by"][20:40] = a["ax"][:20], a["ay"][20:40]  # along one axis
+    b["bx"][:5], b["by"][:5] = b["ax"][:5], b["ay"][:5]  # points
+    a = {c: v[(a["ax"] != a["bx"]) | (a["ay"] != a["by"])] for c, v in a.items()}
+    monkeypatch.setattr(audit, "intervals", lambda p, q, r: compared.append(len(p["ax"]) * len(q["ax"])) or plain(p, q, r))
+    lines = 500 * np.arange(26) / 25
+    for n, most in ((700, len(a["ax"]) * 70), (12, None), (1, None)):
+        other = {c: v[:n] for c, v in b.items()}
+        compared.clear()
+        got = audit.shares(a, other, lines, lines, 30.7)
+        which, t0, t1 = audit.unite(*plain(a | {"s0": np.zeros(len(a["ax"])), "s1": np.ones(len(a["ax"]))}, other, 30.7))
+        assert np.abs(got - np.bincount(which, t1 - t0, len(a["ax"]))).max() < 1e-9
+        assert most is None or sum(compared) <= most
